@@ -1,0 +1 @@
+"""Nothing streams here: profiling needs whole tables, so every operator is a batch one."""
