@@ -39,7 +39,7 @@ from .components import components
 
 K, LEAST = 64, 35
 #: Members of a list in a block; shingles of a cluster in a block; bytes of texts hashed at once.
-LIST_BLOCK, CLUSTER_BLOCK, AT_ONCE = 1024, 1 << 18, 1 << 20
+LIST_BLOCK, CLUSTER_BLOCK, AT_ONCE = 4096, 1 << 21, 1 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -250,11 +250,15 @@ def exact_forest(ids: list, sets: list[np.ndarray], percent: int) -> tuple[list,
     a, b = [], []
     if len(sets) > 1:
         values, code = np.unique(np.concatenate(sets), return_inverse=True)
-        owner = np.repeat(np.arange(len(sets)), size)[np.argsort(code, kind="stable")]
-        starts = np.searchsorted(np.sort(code), np.arange(len(values) + 1))
         codes = np.split(code, np.cumsum(size)[:-1])
+        index: list = []  # of the texts that were left when it was built: owners by shingle, starts, how many
 
         def linked(pivot: int, others: np.ndarray) -> np.ndarray:
+            if not index or 2 * len(others) < index[2]:
+                part = np.concatenate([codes[i] for i in others])
+                order = np.argsort(part, kind="stable")
+                index[:] = np.repeat(others, size[others])[order], np.searchsorted(part[order], np.arange(len(values) + 1)), len(others)
+            owner, starts, _ = index
             first, count = starts[codes[pivot]], starts[codes[pivot] + 1] - starts[codes[pivot]]
             flat = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
             shared = np.bincount(owner[flat], minlength=len(sets))[others]
@@ -268,7 +272,7 @@ def exact_forest(ids: list, sets: list[np.ndarray], percent: int) -> tuple[list,
 
 def _verified(docs: DataFrame, clusters: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """(a, b): exact links, a spanning forest within each block pair of each cluster. clusters: id, component."""
-    narrow = docs.select(named(id_col).alias("id"), named(text_col).alias("text")).join(clusters, "id")
+    narrow = docs.select(named(id_col).alias("id"), named(text_col).alias("text")).join(clusters.hint("merge"), "id")
 
     def rows(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
