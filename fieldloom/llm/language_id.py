@@ -291,4 +291,5 @@ def keep_identified(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id",
                 part = batch.slice(i, 256)
                 yield part.filter(pa.array([x != "und" and s >= least for x, s in label(part.column(at).to_pylist())], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots can't pass
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
