@@ -50,9 +50,9 @@ def canonical(c: Column, kind: T.DataType) -> Column:
 
 def number_text(x: Column) -> Column:
     """Plain decimal notation at 15 significant digits (up to 1e20 and 18 decimals)."""
-    whole = (x == F.floor(x)) & (F.abs(x) < 1e15)
-    exact = F.format_string("%.14e", x).cast("double").cast("decimal(38,18)").cast("string")
-    return F.when(whole, x.cast("bigint").cast("string")).otherwise(F.regexp_replace(exact, r"\.?0+$", ""))
+    whole = (x % F.lit(1.0) == 0) & (F.abs(x) < 1e15)
+    exact = F.format_string("%.14e", x).try_cast("double").try_cast("decimal(38,18)").cast("string")
+    return F.when(x.isNull(), None).when(whole, x.try_cast("bigint").cast("string")).otherwise(F.coalesce(F.regexp_replace(exact, r"\.?0+$", ""), x.cast("string")))
 
 
 def normalized_name(c: Column) -> Column:
