@@ -40,10 +40,57 @@ class Table:
         return missing(c, f.dataType) | blank(c, f.dataType) if self.config["profiling"]["blank_as_missing"] else missing(c, f.dataType)
 
 
+def finite(c: Column, kind: T.DataType) -> Column:
+    """As a double; null unless finite."""
+    x = c.cast("double")
+    return F.when(c.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")), x) if isinstance(kind, FLOATS) else x
+
+
+def ordered_code(x: Column) -> Column:
+    """A long that doesn't fall as x rises: the logarithm, which the JVM promises to be monotonic, with 36 bits after the point. At most some 100,000 doubles share one."""
+    code = F.floor((F.log2(F.abs(x)) + 1100.0) * float(1 << 36))
+    return F.when(x > 0, code).when(x < 0, -code).otherwise(F.lit(0).cast("long"))
+
+
+def quartiles(table: Table, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """variable_position and q0, q1 ...: exact interpolated quantiles of numeric columns, by narrowing counts.
+
+    Values are counted by the leading bits of their code; the bins that hold a wanted rank (two for each share and
+    column, so they can be broadcast) are counted by more bits, then by value. Each round shuffles counts of bins,
+    whose number the code's width bounds, and never the values.
+    """
+    cells = {i: finite(c, f.dataType) for i, c, f in table.columns() if isinstance(f.dataType, NUMERIC)}
+    if not cells:
+        return table.df.sparkSession.createDataFrame([], "variable_position int" + "".join(f", q{k} double" for k in range(len(shares))))
+    place = F.element_at(F.array(*[F.lit(i) for i in cells]), F.col("pos") + 1)
+    values = table.df.select(F.posexplode(F.array(*cells.values())).alias("pos", "x")).filter("x is not null").select(place.alias("variable_position"), "x", ordered_code(F.col("x")).alias("code"))
+    at = lambda share: (F.col("total") - 1) * F.lit(share)
+    here = lambda rank: (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+    key, found = ["variable_position"], None
+    for bits in (30, 10, None):
+        part = F.shiftright("code", bits) if bits is not None else F.col("x")
+        if found is None:
+            counts = values.groupBy(*key, part.alias("part")).agg(F.count(F.lit(1)).alias("n")).withColumn("start", F.lit(0).cast("long"))
+            counts = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*key)))
+        else:
+            inside = values.withColumn("bin", F.shiftright("code", last)).join(F.broadcast(found), [*key, "bin"])
+            counts = inside.groupBy(*key, "bin", "start", "total", part.alias("part")).agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("bin", "outer")
+        group = [*key, "outer"] if found is not None else key
+        running = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counts = counts.withColumn("before", F.col("start") + F.sum("n").over(running) - F.col("n"))
+        holds = reduce(lambda a, b: a | b, [here(f(at(s))) for s in shares for f in (F.floor, F.ceil)])
+        found, last = counts.filter(holds).select(*key, F.col("part").alias("bin"), F.col("before").alias("start"), "total", "n", "before"), bits
+        if bits is not None:
+            found = found.drop("n", "before")
+    ends = [F.max(F.when(here(f(at(s))), F.col("bin"))).alias(f"{name}{k}") for k, s in enumerate(shares) for name, f in (("low", F.floor), ("high", F.ceil))]
+    ends = found.groupBy(*key, "total").agg(*ends)
+    mixed = lambda k, s: F.when(F.col(f"low{k}") == F.col(f"high{k}"), F.col(f"low{k}")).otherwise((F.ceil(at(s)) - at(s)) * F.col(f"low{k}") + (at(s) - F.floor(at(s))) * F.col(f"high{k}"))
+    return ends.select(*key, *[mixed(k, s).alias(f"q{k}") for k, s in enumerate(shares)])
+
+
 def basic_stats(table: Table) -> DataFrame:
-    """A row for each column: counts, numeric and date summaries, text lengths. One pass, one row shuffled per task."""
+    """A row for each column: counts, numeric and date summaries, text lengths. One pass, one row shuffled per task; quartiles() if any column is numeric."""
     aggs, rows = [F.count(F.lit(1)).alias("rows")], []
-    quantiles = table.config["profiling"]["include_quantiles"]
     for i, c, f in table.columns():
         gone, kind = table.gone(c, f), f.dataType
         text, numeric, time = isinstance(kind, T.StringType), isinstance(kind, NUMERIC), isinstance(kind, TIMES)
@@ -54,8 +101,8 @@ def basic_stats(table: Table) -> DataFrame:
         }
         if numeric:
             x = c.cast("double")
-            finite = F.when(c.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")), x) if isinstance(kind, FLOATS) else x
-            own |= {"numeric_min": F.min(finite), "numeric_mean": F.avg(finite), "numeric_max": F.max(finite), "numeric_sd": F.stddev_samp(finite), "quartiles": F.percentile(finite, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if quantiles else F.array(F.lit(None).cast("double"), F.median(finite), F.lit(None).cast("double")), "n_infinite": F.count_if(F.abs(x) == float("inf")) if isinstance(kind, FLOATS) else None}
+            known = finite(c, kind)
+            own |= {"numeric_min": F.min(known), "numeric_mean": F.avg(known), "numeric_max": F.max(known), "numeric_sd": F.stddev_samp(known), "n_infinite": F.count_if(F.abs(x) == float("inf")) if isinstance(kind, FLOATS) else None}
         if time:
             shape = "yyyy-MM-dd" if isinstance(kind, T.DateType) else "yyyy-MM-dd'T'HH:mm:ss'Z'"
             own |= {"date_min": F.date_format(F.min(c), shape), "date_max": F.date_format(F.max(c), shape)}
@@ -63,15 +110,21 @@ def basic_stats(table: Table) -> DataFrame:
         has = lambda k: own.get(k) is not None
         take = lambda k, kind, i=i, has=has: (F.col(f"{k}_{i}") if has(k) else F.lit(None)).cast(kind).alias(k)
         zero = lambda k, i=i, has=has: (F.col(f"{k}_{i}") if has(k) else F.lit(0)).cast("long").alias(k)
-        quartile = lambda n, k, i=i, numeric=numeric: (F.get(F.col(f"quartiles_{i}"), F.lit(n)) if numeric else F.lit(None)).cast("double").alias(k)
         rows.append(F.struct(
             F.lit(i).cast("long").alias("variable_position"), F.lit(table.display(i)).alias("variable_name"), F.lit(f.name).alias("source_variable_name"), F.lit(f.dataType.simpleString().split("<")[0]).alias("storage_type"), F.col("rows").alias("n_rows"),
             zero("n_system_missing"), zero("n_missing"), zero("n_blank_strings"), (F.col("rows") - F.col(f"n_missing_{i}")).alias("n_non_missing"),
             *[take(k, "double") for k in ("string_min_length", "string_mean_length", "string_max_length")], zero("n_leading_trailing_whitespace"),
-            take("numeric_min", "double"), quartile(0, "numeric_q1"), quartile(1, "numeric_median"), take("numeric_mean", "double"), quartile(2, "numeric_q3"), take("numeric_max", "double"), take("numeric_sd", "double"), zero("n_infinite"),
+            take("numeric_min", "double"), *[F.lit(None).cast("double").alias(q) for q in ("numeric_q1", "numeric_median")], take("numeric_mean", "double"), F.lit(None).cast("double").alias("numeric_q3"), take("numeric_max", "double"), take("numeric_sd", "double"), zero("n_infinite"),
             take("date_min", "string"), take("date_max", "string"), F.lit("UTC" if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else None).cast("string").alias("timezone"),
         ))
-    return table.df.agg(*aggs).select(F.inline(F.array(*rows)))
+    out = table.df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if not any(isinstance(f.dataType, NUMERIC) for f in table.fields):
+        return out
+    # A row for each column on both sides.
+    names = {"numeric_q1": 0.25, "numeric_median": 0.5, "numeric_q3": 0.75} if table.config["profiling"]["include_quantiles"] else {"numeric_median": 0.5}
+    ranked = quartiles(table, tuple(names.values())).withColumnRenamed("variable_position", "at")
+    joined = out.join(F.broadcast(ranked), F.col("variable_position") == F.col("at"), "left")
+    return joined.withColumns({q: F.col(f"q{k}") for k, q in enumerate(names)}).select(*out.columns)
 
 
 def frequencies(table: Table, only: list[int] | None = None) -> DataFrame:

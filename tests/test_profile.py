@@ -11,7 +11,7 @@ from fieldloom import registry
 from fieldloom.config import DEFAULTS, load, merged
 from fieldloom.operators.classify import classified
 from fieldloom.operators.levels import categorical_levels
-from fieldloom.operators.profile import Table
+from fieldloom.operators.profile import Table, quartiles
 from fieldloom.plans.run import CATALOG, dataset_ids, dictionary_of, profile, run, write_xlsx
 from fieldloom.sources import files
 
@@ -124,3 +124,22 @@ def test_end_to_end(spark, tmp_path):
     assert zipfile.ZipFile(tmp_path / "out/metadata.xlsx").testzip() is None and (tmp_path / "out/artifact_manifest.csv").exists()
     with pytest.raises(FileExistsError):
         run(spark, [str(src)], str(tmp_path / "out"))
+
+
+def test_quartiles_of_extreme_values(spark):
+    import math
+    import random
+
+    rng = random.Random(1)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308, 2.0**-1022, float("nan"), float("inf"), None]
+    rows = [(rng.choice([rng.gauss(0, 1), rng.choice(odd), math.ldexp(rng.random(), rng.randint(-1000, 1000))]), rng.randint(-9, 9), None) for _ in range(500)]
+    for n in (500, 499, 2, 1, 0):
+        df = spark.createDataFrame(rows[:n], "a double, b long, c double")
+        got = {r[0]: r[1:] for r in map(tuple, quartiles(Table(df)).collect())}
+        for i in range(3):
+            known = sorted(float(r[i]) for r in rows[:n] if r[i] is not None and math.isfinite(r[i]))
+            assert (i + 1 in got) == bool(known)
+            for share, x in zip((0.25, 0.5, 0.75), got.get(i + 1, ()), strict=False):
+                at = (len(known) - 1) * share
+                low, high = known[math.floor(at)], known[math.ceil(at)]
+                assert x == (low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high)
