@@ -23,6 +23,7 @@ from ..operators.classify import classified
 from ..operators.dictionary import data_dictionary, dataset_issues, documentation_gaps, public_dictionary, variable_issues, with_examples
 from ..operators.levels import categorical_levels, value_labels
 from ..operators.profile import Table, dataset_cells, duplicate_rows, frequencies, union_fill
+from ..operators.schema import schema_rows
 from ..sources import files
 
 #: Result tables with their product and grain.
@@ -125,7 +126,7 @@ def run(spark: SparkSession, inputs: list[str], output: str | None = None, confi
         one = tables["dataset_metadata"][0]
         t["provenance_metadata"].append({"dataset_id": d.dataset_id, "source_file": d.source_file, "source_sheet": d.sheet, "source_object": d.object, "source_format": d.source_format, "source_file_md5": d.file_metadata.get("file_md5"), "imported_utc": now(), "pipeline_name": "data_dictionary", "n_rows": one["n_rows"], "n_columns": one["n_columns"]})
     m, n = c["metadata"], lambda k, f=lambda r: True: sum(map(bool, map(f, t[k])))
-    t["dictionary_schema"] = [{"column_name": name, "definition": name.replace("_", " ")} for name in (t["data_dictionary"][0] if t["data_dictionary"] else [])]
+    t["dictionary_schema"] = schema_rows()
     t["administrative_metadata"] = [{k: "; ".join(v) if isinstance(v, list) else v for k, v in m.items() if k != "run_comment"}]
     t["supported_formats"] = [dict(zip(("family", "format", "extensions", "availability"), f, strict=True)) for f in files.FORMATS]
     t["table_catalog"] = [dict(zip(("artifact_group", "table_name", "grain"), r, strict=True)) for r in CATALOG]

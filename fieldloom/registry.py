@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .config import DEFAULTS, load, merged
 from .functions import columns as fn
-from .operators import classify, dictionary, levels, profile
+from .operators import classify, dictionary, levels, profile, schema
 from .plans.run import profile as profiled
 
 #: Columns and kinds of the tables, in their order.
@@ -237,6 +237,9 @@ def _build() -> dict[str, tuple[Query, str]]:
     out["levels_with_labels"] = (labelled, "SELECT quality::VARCHAR AS raw_value, CASE quality WHEN 0 THEN 'low' ELSE 'high' END AS value_label, quality || ' — ' || CASE quality WHEN 0 THEN 'low' ELSE 'high' END AS display_value, count(*)::BIGINT AS count FROM labels GROUP BY quality")
     public = ("Variable", "Definition", "Type", "Categories / values", "Missing", "Status")
     out["public_dictionary_customer"] = (lambda s, d: dictionary.public_dictionary(profiled(source(s, d, "customer"), "customer")["data_dictionary"]).select(*[F.col(f"`{c}`").alias(c.lower().replace(" / ", "_")) for c in public]), f"SELECT variable, '-' AS definition, upper(measurement_level[1]) || measurement_level[2:] AS type, CASE WHEN categorical_eligible AND NOT potential_identifier AND NOT potential_sensitive THEN value_label ELSE '-' END AS categories_values, n_missing || ' (' || printf('%.1f', percent_missing) || '%)' AS missing, 'Definition needed' || CASE WHEN potential_identifier OR potential_sensitive THEN '; Disclosure review' ELSE '' END AS status FROM ({dictionary_sql('customer')}) AS q")
+    quoted = lambda x: x.replace("'", "''")
+    texts = ", ".join(f"('{r['column_name']}', '{quoted(r['definition'])}')" for r in schema.schema_rows())
+    out["dictionary_schema"] = (lambda s, d: schema.dictionary_schema(s), f"SELECT * FROM (VALUES {texts}) AS t(column_name, definition)")
     return out
 
 
