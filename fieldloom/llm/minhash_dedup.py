@@ -19,8 +19,9 @@ A pair at the threshold is missed only if its estimate errs by five standard dev
 fewer than LEAST of about 51 expected values: below one in a million.
 
 Defined results: null, empty and wordless texts have no shingles, no links, and stay. Texts below `width` words are one
-shingle. Identifiers are expected to be unique; rows that repeat one are judged by their own text, and of
-several that stay under one identifier each counts as kept. A null identifier links with nothing, stays, and has a null component. An
+shingle. Where rows share an identifier or have none, each row is judged by its own text under a row number in a
+written copy: near_dedup() then tells each component's smallest identifier, null if it has none, and every row with
+that identifier as kept; keep_representatives() leaves one row of each component, so one of rows repeated whole. An
 empty table gives an empty result. Other columns pass through keep_representatives() untouched.
 """
 
@@ -317,13 +318,29 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """docs and the column that tells its rows apart: id_col itself or, where rows share or lack an identifier, a row number added to a written copy."""
+    unclear = docs.groupBy(named(id_col).alias("id")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 or id is null")
+    if unclear.isEmpty():
+        return docs, id_col
+    (row,) = fresh(docs, "_row")
+    return cut(docs.withColumn(row, F.monotonically_increasing_id())), row
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest identifier reached through links), kept: a row for each row of docs."""
-    return _judged(docs, id_col, text_col, width, percent)
+    docs, row = _keyed(docs, id_col)
+    judged = _judged(docs, row, text_col, width, percent)
+    if row == id_col:
+        return judged
+    rows = cut(judged.join(docs.select(named(row).alias("doc_id"), named(id_col).alias("own")), "doc_id"))
+    least = rows.groupBy("component_id").agg(F.min("own").alias("least"))
+    return rows.join(least, "component_id").select(F.col("own").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"), F.col("own").eqNullSafe(F.col("least")).alias("kept"))
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs but those whose component has a smaller identifier, with all their columns."""
-    (key,) = fresh(docs, "_gone")
-    gone = _judged(docs, id_col, text_col, width, percent).filter("not kept").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, named(id_col) == F.col(key), "left_anti")
+    """One row of docs for each component, with all its columns: the one with the smallest identifier or, where rows share or lack one, the first."""
+    keyed, row = _keyed(docs, id_col)
+    (key,) = fresh(keyed, "_gone")
+    gone = _judged(keyed, row, text_col, width, percent).filter("not kept").select(F.col("doc_id").alias(key))
+    return keyed.join(gone, named(row) == F.col(key), "left_anti").select(*[named(c) for c in docs.columns])
