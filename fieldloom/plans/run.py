@@ -11,6 +11,8 @@ import platform
 import shutil
 import time
 import zipfile
+from collections.abc import Iterator, Sequence
+from itertools import islice
 from xml.sax.saxutils import escape, quoteattr
 
 import pyspark
@@ -68,6 +70,34 @@ def dictionary_of(df: DataFrame, max_categorical_levels: int = 10, dataset_id: s
     return profile(df, dataset_name or dataset_id, config, dataset_id, "in_memory")["data_dictionary"]
 
 
+class Problems(Sequence):
+    """All parsing problems of all datasets as rows, streamed from their files a partition at a time: they are never on the driver together. Slices are lists."""
+
+    names = ("source_file", "row", "col", "expected", "actual", "dataset_id")
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[DataFrame, str, int]] = []
+
+    def add(self, df: DataFrame, dataset_id: str, n: int) -> None:
+        self.parts.append((df, dataset_id, n))
+
+    def __len__(self) -> int:
+        return sum(n for *_, n in self.parts)
+
+    def __iter__(self) -> Iterator[dict]:
+        for df, dataset_id, n in self.parts:
+            if n:
+                yield from (r.asDict() | {"dataset_id": dataset_id} for r in df.toLocalIterator())
+
+    def __getitem__(self, at: int | slice) -> dict | list[dict]:
+        if isinstance(at, slice):
+            first, end, step = at.indices(len(self))
+            return list(islice(self, first, end, step)) if step > 0 else list(self)[at]
+        if not -len(self) <= at < len(self):
+            raise IndexError(at)
+        return next(islice(self, at % len(self), None))
+
+
 def dataset_ids(datasets: list[files.Dataset]) -> None:
     """stem__sheet__object[__name] as a slug; repeats get __1, __2 ... where free."""
     used: set[str] = set()
@@ -82,13 +112,14 @@ def dataset_ids(datasets: list[files.Dataset]) -> None:
         d.dataset_id = name
 
 
-def run(spark: SparkSession, inputs: list[str], output: str | None = None, config: dict | str | None = None, cli: dict | None = None) -> dict[str, list[dict]]:
-    """The nineteen tables, as rows (they have a row for a column, file or issue), exported if output is given."""
+def run(spark: SparkSession, inputs: list[str], output: str | None = None, config: dict | str | None = None, cli: dict | None = None) -> dict[str, Sequence[dict]]:
+    """The nineteen tables, as rows (they have a row for a column, file or issue; import_problems, with a row for each bad line, is streamed), exported if output is given."""
     c, began = load(config, cli), time.time()
     paths = files.discover(inputs, c["input"]["recursive"], c["input"]["include_hidden"])
     if not paths:
         raise FileNotFoundError("no input files were found")
-    t: dict[str, list[dict]] = {name: [] for _, name, _ in CATALOG}
+    problems = Problems()
+    t: dict[str, Sequence[dict]] = {name: [] for _, name, _ in CATALOG} | {"import_problems": problems}
     datasets: list[files.Dataset] = []
 
     def failed(stage: str, path: str, dataset: str | None, e: Exception) -> None:
@@ -114,15 +145,17 @@ def run(spark: SparkSession, inputs: list[str], output: str | None = None, confi
     dataset_ids(datasets)
     for d in datasets:
         try:
-            problems = [r.asDict() | {"dataset_id": d.dataset_id} for r in d.problems.limit(1000).collect()] if d.problems is not None else []
-            tables = {k: [r.asDict() for r in v.collect()] for k, v in profile(d.df, d.name, c, d.dataset_id, d.source_format, d.label, len(problems)).items()}
+            # Every problem has an `actual`; a count of rows alone would read the corrupt lines alone, which Spark refuses.
+            n_problems = d.problems.agg(F.count("actual")).first()[0] if d.problems is not None else 0
+            tables = {k: [r.asDict() for r in v.collect()] for k, v in profile(d.df, d.name, c, d.dataset_id, d.source_format, d.label, n_problems).items()}
         except Exception as e:
             failed("profiling", d.source_file, d.dataset_id, e)
             continue
         for k, rows in tables.items():
             t[k] += rows
         t["dataset_metadata"][-1] |= {"source_file": d.source_file, "source_sheet": d.sheet, "source_object": d.object, "import_notes": d.notes}
-        t["import_problems"] += problems
+        if d.problems is not None:
+            problems.add(d.problems, d.dataset_id, n_problems)
         one = tables["dataset_metadata"][0]
         t["provenance_metadata"].append({"dataset_id": d.dataset_id, "source_file": d.source_file, "source_sheet": d.sheet, "source_object": d.object, "source_format": d.source_format, "source_file_md5": d.file_metadata.get("file_md5"), "imported_utc": now(), "pipeline_name": "data_dictionary", "n_rows": one["n_rows"], "n_columns": one["n_columns"]})
     m, n = c["metadata"], lambda k, f=lambda r: True: sum(map(bool, map(f, t[k])))
@@ -137,7 +170,7 @@ def run(spark: SparkSession, inputs: list[str], output: str | None = None, confi
     t["summary"] = [{
         "input_files": len(paths), "supported_files": n("input_inventory", lambda r: r["supported"]), "files_read": n("input_inventory", lambda r: r["status"] == "read"), "files_failed": n("input_inventory", lambda r: r["status"] == "failed"), "datasets": n("dataset_metadata"), "variables": n("variable_metadata"), "dictionary_rows": n("data_dictionary"),
         "categorical_variables": n("data_dictionary", lambda r: r["categorical_eligible"]), "noncategorical_character_variables": n("data_dictionary", lambda r: r["semantic_type"] in ("high_cardinality_text", "free_text", "identifier")), "variables_missing_business_definition": n("data_dictionary", lambda r: not r["business_definition"]),
-        "import_problems": n("import_problems"), "quality_issues": n("quality_issues"), "errors": n("errors"),
+        "import_problems": len(problems), "quality_issues": n("quality_issues"), "errors": n("errors"),
     }]
     if output:
         export(t, output, c)
@@ -161,54 +194,77 @@ def prepared(output: str, overwrite: bool) -> None:
         shutil.rmtree(path) if os.path.isdir(path) else os.path.exists(path) and os.remove(path)
 
 
-def names_of(rows: list[dict]) -> list[str]:
-    return list(dict.fromkeys(k for r in rows for k in r))
+def names_of(rows: Sequence[dict]) -> list[str]:
+    return list(rows.names) if isinstance(rows, Problems) and len(rows) else list(dict.fromkeys(k for r in rows for k in r))
 
 
 def text_of(x: object) -> str:
     return "" if x is None else str(x).upper() if isinstance(x, bool) else str(x)
 
 
-def write_csv(path: str, rows: list[dict]) -> None:
+def write_csv(path: str, rows: Sequence[dict]) -> None:
     with open(path, "w", newline="", encoding="utf-8") as f:
         out = csv.DictWriter(f, names_of(rows))
         out.writeheader()
         out.writerows({k: text_of(v) for k, v in r.items()} for r in rows)
 
 
-def write_xlsx(path: str, tables: dict[str, list[dict]]) -> None:
-    """Inline strings, bold header, filter, frozen first row, widths from the first 200 rows."""
+def write_json(path: str, members: dict[str, object]) -> None:
+    """One object; tables are written row by row."""
+    with open(path, "w", encoding="utf-8") as f:
+        for i, (name, value) in enumerate(members.items()):
+            f.write(f"{', ' if i else '{'}{files.to_json(name)}: ")
+            if not isinstance(value, Problems):
+                f.write(files.to_json(value))
+                continue
+            f.write("[")
+            f.writelines(", " * bool(k) + files.to_json(r) for k, r in enumerate(value))
+            f.write("]")
+        f.write("}")
+
+
+#: Rows that a sheet of a workbook can hold below its header.
+SHEET_ROWS = 1_048_575
+
+
+def write_xlsx(path: str, tables: dict[str, Sequence[dict]]) -> None:
+    """Inline strings, bold header, filter, frozen first row, widths from the first 200 rows. A table beyond a sheet's rows goes on in the next sheet."""
     def letters(i: int) -> str:
         return (letters(i // 26 - 1) if i >= 26 else "") + chr(65 + i % 26)
 
     taken: set[str] = set()
     sheets = []
-    for name, rows in tables.items():
+    for name, rows, first in ((name, rows, first) for name, rows in tables.items() for first in range(0, len(rows) or 1, SHEET_ROWS)):
         base = "".join("_" if ch in "[]:*?/\\" else ch for ch in name)[:31]
         title, k = base, 1
         while title.lower() in taken:
             k += 1
             title = f"{base[: 31 - len(str(k)) - 1]}_{k}"
         taken.add(title.lower())
-        sheets.append((title, names_of(rows), rows))
+        sheets.append((title, names_of(rows), rows, first))
     main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         over = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(sheets) + 1))
         z.writestr("[Content_Types].xml", f'<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>{over}</Types>')
         z.writestr("_rels/.rels", f'<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
         z.writestr("xl/_rels/workbook.xml.rels", '<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="r{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1)) + f'<Relationship Id="s" Type="{rel}/styles" Target="styles.xml"/></Relationships>')
-        z.writestr("xl/workbook.xml", f'<?xml version="1.0"?><workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name={quoteattr(t)} sheetId="{i}" r:id="r{i}"/>' for i, (t, _, _) in enumerate(sheets, 1)) + "</sheets></workbook>")
+        z.writestr("xl/workbook.xml", f'<?xml version="1.0"?><workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name={quoteattr(t)} sheetId="{i}" r:id="r{i}"/>' for i, (t, *_) in enumerate(sheets, 1)) + "</sheets></workbook>")
         z.writestr("xl/styles.xml", f'<?xml version="1.0"?><styleSheet xmlns="{main}"><fonts count="2"><font/><font><b/></font></fonts><fills count="3"><fill/><fill/><fill><patternFill patternType="solid"><fgColor rgb="FFFFF2CC"/></patternFill></fill></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="3"><xf/><xf fontId="1" applyFont="1"/><xf fillId="2" applyFill="1"/></cellXfs></styleSheet>')
-        for i, (_, names, rows) in enumerate(sheets, 1):
+        for i, (_, names, rows, first) in enumerate(sheets, 1):
             cell = lambda r, j, v, s: f'<c r="{letters(j)}{r}" s="{s}"><v>{v}</v></c>' if isinstance(v, (int, float)) and not isinstance(v, bool) and v == v and abs(v) != float("inf") else "" if v is None else f'<c r="{letters(j)}{r}" s="{s}" t="inlineStr"><is><t xml:space="preserve">{escape("".join(ch for ch in text_of(v) if ch >= " " or ch in chr(9) + chr(10)))}</t></is></c>'
-            widths = "".join(f'<col min="{j + 1}" max="{j + 1}" width="{min(60, max(10, 2 + max([len(n), *(len(text_of(r.get(n))) for r in rows[:200])])))}" customWidth="1"/>' for j, n in enumerate(names))
-            body = [f'<row r="1">{"".join(cell(1, j, n, 1) for j, n in enumerate(names))}</row>']
-            body += [f'<row r="{k}">{"".join(cell(k, j, r.get(n), 2 if r.get("review_required") is True else 0) for j, n in enumerate(names))}</row>' for k, r in enumerate(rows, 2)]
-            filter_ = f'<autoFilter ref="A1:{letters(len(names) - 1)}{len(rows) + 1}"/>' if names else ""
-            z.writestr(f"xl/worksheets/sheet{i}.xml", f'<?xml version="1.0"?><worksheet xmlns="{main}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>{f"<cols>{widths}</cols>" if names else ""}<sheetData>{"".join(body)}</sheetData>{filter_}</worksheet>')
-
-
-def html_table(rows: list[dict], most: int) -> str:
+            top, here = rows[:200], min(len(rows) - first, SHEET_ROWS)
+            widths = "".join(f'<col min="{j + 1}" max="{j + 1}" width="{min(60, max(10, 2 + max([len(n), *(len(text_of(r.get(n))) for r in top)])))}" customWidth="1"/>' for j, n in enumerate(names))
+            filter_ = f'<autoFilter ref="A1:{letters(len(names) - 1)}{here + 1}"/>' if names else ""
+            with z.open(f"xl/worksheets/sheet{i}.xml", "w", force_zip64=isinstance(rows, Problems)) as f:
+                put = lambda x, f=f: f.write(x.encode())
+                put(f'<?xml version="1.0"?><worksheet xmlns="{main}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>{f"<cols>{widths}</cols>" if names else ""}<sheetData>')
+                put(f'<row r="1">{"".join(cell(1, j, n, 1) for j, n in enumerate(names))}</row>')
+                for k, r in enumerate(islice(rows, first, first + SHEET_ROWS), 2):
+                    put(f'<row r="{k}">{"".join(cell(k, j, r.get(n), 2 if r.get("review_required") is True else 0) for j, n in enumerate(names))}</row>')
+                put(f"</sheetData>{filter_}</worksheet>")
+
+
+def html_table(rows: Sequence[dict], most: int) -> str:
     names, e = names_of(rows), lambda x: html.escape(text_of(x), quote=True)
     head = "".join(f"<th>{e(n)}</th>" for n in names)
     body = "".join("<tr>" + "".join(f"<td>{e(r.get(n))}</td>" for n in names) + "</tr>" for r in rows[:most])
@@ -231,7 +287,7 @@ def public_rows(dictionary: list[dict]) -> list[dict]:
     return [r.asDict() for r in public_dictionary(spark.createDataFrame([tuple(r[n] for n in names) for r in dictionary], schema)).collect()]
 
 
-def export(t: dict[str, list[dict]], output: str, c: dict) -> None:
+def export(t: dict[str, Sequence[dict]], output: str, c: dict) -> None:
     import yaml
 
     o = c["output"]
@@ -247,8 +303,7 @@ def export(t: dict[str, list[dict]], output: str, c: dict) -> None:
         write_csv(at("csv", "variable_dictionary.csv"), t["data_dictionary"])
     if o["write_json"]:
         for name, extra in (("data_dictionary", {}), ("metadata", {"resolved_config": c})):
-            with open(at(f"{name}.json"), "w", encoding="utf-8") as f:
-                f.write(files.to_json({"concept": name, **parts["dictionary" if name == "data_dictionary" else "metadata"], **extra}))
+            write_json(at(f"{name}.json"), {"concept": name, **parts["dictionary" if name == "data_dictionary" else "metadata"], **extra})
     if o["write_excel"]:
         write_xlsx(at("data_dictionary.xlsx"), parts["dictionary"])
         write_xlsx(at("metadata.xlsx"), parts["metadata"])

@@ -126,7 +126,7 @@ def read_delimited(spark: SparkSession, path: str, kind: str, config: dict) -> l
     bad = "_corrupt_line"
     df = spark.read.options(**opts, columnNameOfCorruptRecord=bad).schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())])).csv(where)
     text = [F.nullif(F.col(f"`{f.name}`"), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in schema.fields]
-    problems = df.filter(F.col(bad).isNotNull()).select(F.lit(path).alias("source_file"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("long").alias("col"), F.lit(f"{len(schema)} columns").alias("expected"), F.coalesce(F.col(bad), F.col(f"`{schema.fields[0].name}`").cast("string")).alias("actual")) if schema.fields else None  # Spark won't read the corrupt lines alone
+    problems = df.filter(F.col(bad).isNotNull()).select(F.lit(path).alias("source_file"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("long").alias("col"), F.lit(f"{len(schema)} columns").alias("expected"), F.coalesce(F.col(bad), *[F.col(f"`{f.name}`").cast("string") for f in schema.fields]).alias("actual")) if schema.fields else None  # where only some columns are read, Spark prunes the others and finds no line of a wrong length
     return [Dataset(df.select(*text), stem(path), path, kind, problems=problems)]
 
 

@@ -1,3 +1,4 @@
+import csv
 import gzip
 import json
 import zipfile
@@ -143,3 +144,20 @@ def test_quartiles_of_extreme_values(spark):
                 at = (len(known) - 1) * share
                 low, high = known[math.floor(at)], known[math.ceil(at)]
                 assert x == (low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high)
+
+
+def test_all_parsing_problems_are_kept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("fieldloom.plans.run.SHEET_ROWS", 1000)
+    (tmp_path / "bad.csv").write_text("a,b\n" + "".join(f"{i},x\n" if i % 2 else f"{i},x,more\n" for i in range(5000)))
+    (tmp_path / "good.csv").write_text("a,b\n1,x\n")
+    t = run(spark, [str(tmp_path / "bad.csv"), str(tmp_path / "good.csv")], str(tmp_path / "out"))
+    assert t["summary"][0]["import_problems"] == 2500 and [d["import_problem_count"] for d in t["dataset_metadata"]] == [2500, 0]
+    issue = next(r for r in t["quality_issues"] if r["issue_type"] == "import_parsing_problems")
+    assert issue["metric"] == 2500 and issue["message"].startswith("2500 ")
+    wanted = [f"{i},x,more" for i in range(0, 5000, 2)]
+    assert [r["actual"] for r in t["import_problems"]] == wanted and t["import_problems"][-1]["actual"] == "4998,x,more"
+    with open(tmp_path / "out/csv/import_problems.csv", newline="") as f:
+        assert [r["actual"] for r in csv.DictReader(f)] == wanted
+    assert [r["actual"] for r in json.loads((tmp_path / "out/metadata.json").read_text())["import_problems"]] == wanted
+    sheets = files.workbook(str(tmp_path / "out/metadata.xlsx"))
+    assert [r[4] for n, rows in sheets.items() if n.startswith("import_problems") for r in rows[1:]] == wanted
