@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and a battery of randomness tests for tokens that no pattern knows.
 
 A text becomes one byte for each code point (those beyond Latin-1 become "?", which no pattern contains), so offsets
-are code points and searches run on bytes. A token is a run of 20 or more of A-Z a-z 0-9 + / _ = -. From its
+are code points and searches run on bytes. A token is 20 or more of A-Z a-z 0-9 + / _ - in a row, as in NAME=value
+or ?sig=value, with the "=" of padding where they end the run. From its
 characters follow its encoding (hex, base32, base62 or base64) and that alphabet's size. Three tests ask whether its
 symbols could be random: chi-squared uniformity over the alphabet, runs above and below the alphabet's middle, serial
 correlation of neighbours; Fisher's method combines them, and a token whose symbols are too regular is left alone.
@@ -34,6 +35,7 @@ HEX = b"0123456789abcdef"
 KINDS = ("assign", "access", "hex", "random")
 TOKEN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN_CHARS = 20
+PART = re.compile(rb"[^=]+(?:=+\Z)?")
 #: Alphabets by the order of their values; ordinary text's chance that two symbols agree.
 BASE32 = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE62 = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -63,10 +65,10 @@ def normal_tail(z: float) -> float:
 
 
 def encoding(token: bytes) -> bytes | None:
-    """The alphabet that a token seems to be written in; None for one without both letters and digits."""
+    """The alphabet that a token seems to be written in; None for one with "=" elsewhere than at its end."""
     body = token.rstrip(b"=")
     chars = set(body)
-    if b"=" in body or not any(48 <= c <= 57 for c in chars) or not any(c >= 65 for c in chars):
+    if b"=" in body:
         return None
     if chars <= set(HEX) or chars <= set(HEX.upper()):
         return HEX if chars <= set(HEX) else HEX.upper()
@@ -107,9 +109,17 @@ def battery(token: bytes) -> tuple[float, float] | None:
     return random, text
 
 
+def tokens(text: bytes) -> Iterator[tuple[int, int]]:
+    """Long enough parts of the runs, which are cut at "="; those that end a run stay, as padding."""
+    for start, end in runs(text, _TOKEN, TOKEN_CHARS):
+        for m in PART.finditer(text, start, end):
+            if m.end() - m.start() >= TOKEN_CHARS:
+                yield m.start(), m.end()
+
+
 def random_tokens(text: bytes, taken: list[tuple[int, int, str]], q: float, least_random: float) -> list[tuple[int, int, str]]:
     found = []
-    for start, end in runs(text, _TOKEN, TOKEN_CHARS):
+    for start, end in tokens(text):
         if (p := battery(text[start:end])) is not None:
             found.append((start, end, *p))
     if not found:

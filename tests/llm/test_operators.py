@@ -228,6 +228,16 @@ def test_secret_scan():
     assert secret_scan.scan(None) == [] and secret_scan.joined([]) == ""
 
 
+def test_secret_scan_of_values_behind_names():
+    b64, letters = "kJ8sLq2Zx9WvT4bNc7RfYp1HdGm5uEoA3iXy6Kt0", "kJZsLqbzxQWvTrbNcFRfYpUHdGmEuXoAgiXyJKtS"
+    for before, value, after in [("DB_PASS=", b64, ""), ("client_key=", b64, "="), ("GET /x?sig=", b64, "&b"), ("a=b=", b64 + "==", " c"), ("", b64, "=NAME"), ("", letters, ""), ("DB_PASS=", letters, " x")]:
+        text = before + value + after
+        assert [(text[s:e].rstrip("="), k) for s, e, k in secret_scan.scan(text)] == [(value.rstrip("="), "random")], text
+    assert secret_scan.scan("a=b==" + b64 + "==")[0][:2] == (5, 5 + len(b64) + 2)
+    for text in ("=" * 50, "-" * 50, "0" * 50, "a=" * 40, "1234567890" * 4, "x=internationalization_of_things", "some-long-path/of/ordinary-words/in-a-row"):
+        assert secret_scan.scan(text)[:1] in ([], [(0, len(text), "hex")]), text
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_against_sql(spark, name):
     c = duckdb.connect()
