@@ -59,6 +59,15 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def keyed_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """docs and the column that tells its rows apart: id_col itself or, where rows share or lack an identifier, a row number added to a written copy."""
+    unclear = docs.groupBy(named(id_col).alias("id")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 or id is null")
+    if unclear.isEmpty():
+        return docs, id_col
+    (row,) = fresh(docs, "_row")
+    return cut(docs.withColumn(row, F.monotonically_increasing_id())), row
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else as it is. Texts of ASCII alone take the fast built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

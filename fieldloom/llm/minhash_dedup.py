@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, leaf_mask, leaf_of, named, stream, with_leaves
+from .common import cut, fresh, keyed_rows, leaf_mask, leaf_of, named, stream, with_leaves
 from .components import components
 
 K, LEAST = 64, 35
@@ -318,18 +318,9 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
-    """docs and the column that tells its rows apart: id_col itself or, where rows share or lack an identifier, a row number added to a written copy."""
-    unclear = docs.groupBy(named(id_col).alias("id")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 or id is null")
-    if unclear.isEmpty():
-        return docs, id_col
-    (row,) = fresh(docs, "_row")
-    return cut(docs.withColumn(row, F.monotonically_increasing_id())), row
-
-
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest identifier reached through links), kept: a row for each row of docs."""
-    docs, row = _keyed(docs, id_col)
+    docs, row = keyed_rows(docs, id_col)
     judged = _judged(docs, row, text_col, width, percent)
     if row == id_col:
         return judged
@@ -340,7 +331,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row of docs for each component, with all its columns: the one with the smallest identifier or, where rows share or lack one, the first."""
-    keyed, row = _keyed(docs, id_col)
+    keyed, row = keyed_rows(docs, id_col)
     (key,) = fresh(keyed, "_gone")
     gone = _judged(keyed, row, text_col, width, percent).filter("not kept").select(F.col("doc_id").alias(key))
     return keyed.join(gone, named(row) == F.col(key), "left_anti").select(*[named(c) for c in docs.columns])

@@ -12,8 +12,8 @@ all rows is spread over many tasks. The table of sources (a row each, weights be
 the only one that is ordered in a single task.
 
 Defined results: null or empty texts have size 0, take 0 words and stand nowhere (null position). A null source is
-a source, the last. Rows that repeat an identifier are rows like others. A null identifier has the MD5 of the
-empty text. Empty tables give empty results; sources of size 0 have target 0. Other columns pass through mix().
+a source, the last. Rows that repeat an identifier are rows like others; where rows share or lack one, mix() tells
+them apart by a row number in a written copy. A null identifier has the MD5 of the empty text. Empty tables give empty results; sources of size 0 have target 0. Other columns pass through mix().
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, named
+from .common import WORD, cut, fresh, keyed_rows, named
 
 #: Rows of a source in a bucket of running sums, and buckets of a source at most.
 BUCKET_ROWS, BUCKETS = 2_000, 4096
@@ -83,15 +83,11 @@ def targets(sized: DataFrame, plan: Curriculum) -> DataFrame:
     return levels.withColumn("target", F.least("cap", F.col("weight") * F.col("level"))).drop("weight", "cap", "level")
 
 
-def training_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", plan: Curriculum | None = None) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, passes, position (of the first pass), each row of docs once; in order of position.
-
-    Whole passes over a source come first; what is left of its target is taken from its documents in turn, the last
-    of them in part. So the words taken from a source miss its target by less than one word.
-    """
-    plan = plan or Curriculum()
+def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, plan: Curriculum, row_col: str | None = None) -> DataFrame:
+    """training_plan() in any order, with the column that tells rows apart, if given, as row."""
+    own = ["row"] if row_col else []
     code = F.md5(F.coalesce(named(id_col).cast("string"), F.lit("")))
-    sized = cut(docs.select(named(id_col).alias("doc_id"), named(source_col).alias("source"), word_count(named(text_col)).alias("size"), code.alias("code")))
+    sized = cut(docs.select(named(id_col).alias("doc_id"), named(source_col).alias("source"), word_count(named(text_col)).alias("size"), code.alias("code"), *[named(row_col).alias(o) for o in own]))
     sources = cut(targets(sized, plan))
     buckets = F.least(F.lit(BUCKETS), F.ceil(F.col("source_rows") / BUCKET_ROWS))
     bucket = F.floor(F.conv(F.substring("code", 1, 3), 16, 10).cast("long") * buckets / 4096).cast("int")
@@ -99,7 +95,7 @@ def training_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.select("d.*", "s.source_rank", "s.kind", "s.source_size", "s.target", bucket.alias("bucket"))
     sums = rows.groupBy("source_rank", "bucket").agg(F.sum("size").alias("words"))
     sums = sums.select("source_rank", "bucket", F.coalesce(F.sum("words").over(Window.partitionBy("source_rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_bucket"))
-    within = Window.partitionBy("source_rank", "bucket").orderBy("code", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source_rank", "bucket").orderBy("code", "doc_id", "size", *own).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0))).join(sums, ["source_rank", "bucket"])
     before = F.col("before") + F.col("before_bucket")
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -109,20 +105,29 @@ def training_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = F.when(F.col("full") > 0, F.col("size")).otherwise(F.col("part"))
     at = plan.time_of(F.col("kind"), F.least(F.lit(1.0), (F.col("before") + first / 2) / F.col("target")))
     taken = F.col("full") * F.col("size") + F.col("part")
-    out = rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.when(taken > 0, F.col("full") + (F.col("part") > 0).cast("long")).otherwise(F.lit(0)).alias("passes"), F.when(taken > 0, at).alias("position"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.when(taken > 0, F.col("full") + (F.col("part") > 0).cast("long")).otherwise(F.lit(0)).alias("passes"), F.when(taken > 0, at).alias("position"), *own)
+
+
+def training_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", plan: Curriculum | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, passes, position (of the first pass), each row of docs once; in order of position.
+
+    Whole passes over a source come first; what is left of its target is taken from its documents in turn, the last
+    of them in part. So the words taken from a source miss its target by less than one word.
+    """
+    out = _planned(docs, id_col, text_col, source_col, plan or Curriculum())
     return out.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", plan: Curriculum | None = None) -> DataFrame:
     """docs as training meets them in the first pass: rows of which the mix takes nothing are gone, the others stand in order of position.
 
-    Rows come as often as the mix passes over them. Identifiers should be unique; rows that share one share its largest number of passes.
+    Rows come as often as the mix passes over them, each by its own share of the plan.
     """
-    from .common import fresh
-
-    passes, place, turn, key = fresh(docs, "_passes", "_position", "_turn", "_key")
-    chosen = training_plan(docs, id_col, text_col, source_col, plan).filter(F.col("passes") > 0).groupBy(F.col("doc_id").alias(key)).agg(F.max("passes").alias(passes), F.min("position").alias(place))
-    rows = docs.join(chosen, named(id_col).eqNullSafe(F.col(key))).withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(passes))))
+    keyed, row = keyed_rows(docs, id_col)
+    passes, place, turn, key = fresh(keyed, "_passes", "_position", "_turn", "_key")
+    planned = _planned(keyed, id_col, text_col, source_col, plan or Curriculum(), row)
+    chosen = planned.filter(F.col("passes") > 0).select(F.col("row").alias(key), F.col("passes").alias(passes), F.col("position").alias(place))
+    rows = keyed.join(chosen, named(row) == F.col(key)).withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(passes))))
     return rows.orderBy(turn, place).select(*[named(c) for c in docs.columns])
 
 

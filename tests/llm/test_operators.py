@@ -70,6 +70,19 @@ def test_mixing(spark):
     assert places == sorted(places) and 0 <= places[0] and places[-1] <= 1
 
 
+@pytest.mark.parametrize("ids", [lambda i: i, lambda i: None if i % 3 == 0 else i, lambda i: i // 4])
+def test_mix_follows_the_plan_row_by_row(spark, ids):
+    rng = random.Random(2)
+    rows = [(ids(i), "w " * rng.randint(0, 40), rng.choice(["a", "a", "a", "b", None]), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _row int")
+    plan = sorted((turn, r.position, str(r.source), r.size) for r in mixing.training_plan(df).collect() for turn in range(1, r.passes + 1))
+    out = mixing.mix(df)
+    got = [(str(r.source), r.text.count("w")) for r in out.collect()]
+    assert out.columns == df.columns and sorted(got) == sorted(x[2:] for x in plan)
+    for source in ("a", "b", "None"):  # sources may stand at the same position
+        assert [n for s, n in got if s == source] == [x[3] for x in plan if x[2] == source]
+
+
 def test_schedule_is_inverted():
     plan = mixing.Curriculum()
     assert plan.weights == [5.0, 2.0, 1.0]
