@@ -222,7 +222,8 @@ def _clusters(classes: DataFrame, share: float) -> DataFrame:
     posts = classes.select("rep", "n", F.explode("sketch").alias("value"))
     lists = posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     kept = F.least(F.lit(K), F.col("n"))
-    agree = F.when(F.col("n") <= 51, F.ceil(F.col("n") * F.lit(share) - 1e-9)).otherwise(F.lit(LEAST if share >= 0.8 else max(1, int(K * share - 5 * (K * share * (1 - share)) ** 0.5))))
+    # Up to this size each partner's sketch is its whole set, as the larger set has n / share values at most.
+    agree = F.when(F.col("n") <= int(K * share + 1e-9), F.ceil(F.col("n") * F.lit(share) - 1e-9)).otherwise(F.lit(LEAST if share >= 0.8 else max(1, int(K * share - 5 * (K * share * (1 - share)) ** 0.5))))
     of = Window.partitionBy("rep")
     rarest = posts.join(lists, "value").withColumn("place", F.row_number().over(of.orderBy("df", "value")) + kept - F.count(F.lit(1)).over(of))
     members = rarest.filter(F.col("place") <= kept - agree + 1).select("rep", "value", "df")

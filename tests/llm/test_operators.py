@@ -219,6 +219,12 @@ def test_near_dedup_equals_brute_force(spark):
     assert got == {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
 
 
+def test_near_dedup_finds_larger_partners_below_80_percent(spark):
+    rows = [(2 * p + k, " ".join(f"p{p}w{i}" for i in range(n))) for p in range(60) for k, n in enumerate((51, 170))]
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), width=1, percent=30).collect()}
+    assert got == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_near_dedup_where_rows_share_or_lack_identifiers(spark):
     rng = random.Random(6)
     first, second, third = ([f"w{rng.randrange(9000)}" for _ in range(100)] for _ in range(3))
