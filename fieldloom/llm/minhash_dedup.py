@@ -16,7 +16,8 @@ Lists and clusters above a size are dealt by blocks: each pair of blocks is a ta
 they hold every pair. Nothing is dropped: a block pair compares all that it holds.
 
 A pair at the threshold is missed only if its estimate errs by five standard deviations or its sketches share
-fewer than LEAST of about 51 expected values: below one in a million.
+fewer than LEAST of about 51 expected values: by the binomial tail of 64 values at 0.8, about 4 in a million (4.2e-6
+for 35 or fewer, 1.2e-6 for fewer than LEAST). That is a model of infinite sets.
 
 Defined results: null, empty and wordless texts have no shingles, no links, and stay. Texts below `width` words are one
 shingle. Where rows share an identifier or have none, each row is judged by its own text under a row number in a
