@@ -4,8 +4,10 @@ A source's weight is a schedule over training time 0 to 1, linear between knots.
 weight; integrals share the budget, and targets above max_repeats times a source's size stop there while the
 excess goes to the others by weight (the level at which the sum of least(cap, weight x level) is the budget, found
 with running sums over the sources in order of cap to weight). Demand accumulated along the schedule is inverted
-in closed form: a document whose words are the middle of the u-th part of its source's target stands at the time
-when the schedule has asked for u. Documents of a source follow each other by the MD5 of their identifier.
+in closed form: words that are the middle of the u-th part of their source's target stand at the time when the
+schedule has asked for u. Documents of a source follow each other by the MD5 of their identifier, and where the
+target is larger than the source, pass after pass: pass t of a document has t times the source's size before it, so
+each pass has a position of its own and repeats mix with the first passes of other sources as the schedules say.
 
 Running sums within a source use buckets of that MD5, as many as the source needs, so a source with a third of
 all rows is spread over many tasks. The table of sources (a row each, weights being given by hand or by rank) is
@@ -13,7 +15,10 @@ the only one that is ordered in a single task.
 
 Defined results: null or empty texts have size 0, take 0 words and stand nowhere (null position). A null source is
 a source, the last. Rows that repeat an identifier are rows like others; where rows share or lack one, mix() tells
-them apart by a row number in a written copy. A null identifier has the MD5 of the empty text. Empty tables give empty results; sources of size 0 have target 0. Other columns pass through mix().
+them apart by a row number in a written copy. A null identifier has the MD5 of the text. Documents of equal MD5 stand
+by identifier, then size; equal positions of different sources by identifier. Very long texts count whole, and a text
+longer than what is left of its source's target is taken in part. Empty tables give empty results; sources of size 0
+have target 0. Other columns, whatever their names, pass through mix().
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, fresh, keyed_rows, named
+from .common import WORD, cut, fresh, keyed_rows, leaf_mask, leaf_of, named, with_leaves
 
 #: Rows of a source in a bucket of running sums, and buckets of a source at most.
 BUCKET_ROWS, BUCKETS = 2_000, 4096
@@ -69,8 +74,8 @@ def word_count(text: Column) -> Column:
 
 
 def targets(sized: DataFrame, plan: Curriculum) -> DataFrame:
-    """source, source_rank, kind, source_size, source_rows, target: a row for each source of (source, size)."""
-    own = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
+    """source, source_rank, kind, source_size, source_rows, leaves, target: a row for each source of (source, size, leaf)."""
+    own = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"), leaf_mask(F.col("leaf")).alias("leaves"))
     ranked = own.withColumn("source_rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
     kind = F.pmod("source_rank", F.lit(len(plan.schedules)))
     weights = F.element_at(F.array(*[F.lit(w) for w in plan.weights]), (kind + 1).cast("int"))
@@ -84,14 +89,15 @@ def targets(sized: DataFrame, plan: Curriculum) -> DataFrame:
 
 
 def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, plan: Curriculum, row_col: str | None = None) -> DataFrame:
-    """training_plan() in any order, with the column that tells rows apart, if given, as row."""
+    """training_plan() in any order, with positions (of all passes) and the column that tells rows apart, if given, as row."""
     own = ["row"] if row_col else []
-    code = F.md5(F.coalesce(named(id_col).cast("string"), F.lit("")))
-    sized = cut(docs.select(named(id_col).alias("doc_id"), named(source_col).alias("source"), word_count(named(text_col)).alias("size"), code.alias("code"), *[named(row_col).alias(o) for o in own]))
+    code = F.md5(F.coalesce(named(id_col).cast("string"), named(text_col), F.lit("")))
+    sized = docs.select(named(id_col).alias("doc_id"), named(source_col).alias("source"), word_count(named(text_col)).alias("size"), code.alias("code"), *[named(row_col).alias(o) for o in own])
+    sized = cut(sized.withColumn("leaf", leaf_of(F.col("code"))))
     sources = cut(targets(sized, plan))
     buckets = F.least(F.lit(BUCKETS), F.ceil(F.col("source_rows") / BUCKET_ROWS))
     bucket = F.floor(F.conv(F.substring("code", 1, 3), 16, 10).cast("long") * buckets / 4096).cast("int")
-    rows = sized.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
+    rows = sized.alias("d").join(with_leaves(sources, "leaves", "leaf").alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")) & (F.col("d.leaf") == F.col("s.leaf")))
     rows = rows.select("d.*", "s.source_rank", "s.kind", "s.source_size", "s.target", bucket.alias("bucket"))
     sums = rows.groupBy("source_rank", "bucket").agg(F.sum("size").alias("words"))
     sums = sums.select("source_rank", "bucket", F.coalesce(F.sum("words").over(Window.partitionBy("source_rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_bucket"))
@@ -102,38 +108,39 @@ def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, plan:
     rest = F.floor(F.col("target") + 0.5).cast("long") - full * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(rest - before, F.col("size")))
     rows = rows.withColumns({"before": before, "full": full, "part": part})
-    first = F.when(F.col("full") > 0, F.col("size")).otherwise(F.col("part"))
-    at = plan.time_of(F.col("kind"), F.least(F.lit(1.0), (F.col("before") + first / 2) / F.col("target")))
     taken = F.col("full") * F.col("size") + F.col("part")
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.when(taken > 0, F.col("full") + (F.col("part") > 0).cast("long")).otherwise(F.lit(0)).alias("passes"), F.when(taken > 0, at).alias("position"), *own)
+    passes = F.when(taken > 0, F.col("full") + (F.col("part") > 0).cast("long")).otherwise(F.lit(0))
+    # Pass t, from 0, takes the whole document while t < full, then the part that is left.
+    middle = lambda t: t * F.col("source_size") + F.col("before") + F.when(t < F.col("full"), F.col("size")).otherwise(F.col("part")) / 2
+    at = lambda t: plan.time_of(F.col("kind"), F.least(F.lit(1.0), middle(t) / F.col("target")))
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1), at)
+    rows = rows.withColumns({"taken": taken, "passes": passes}).withColumn("positions", F.when(F.col("passes") > 0, every))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken", "passes", F.get("positions", F.lit(0)).alias("position"), F.element_at("positions", -1).alias("last_position"), "positions", *own)
 
 
 def training_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", plan: Curriculum | None = None) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, passes, position (of the first pass), each row of docs once; in order of position.
+    """doc_id, source, size, source_size, target, taken, passes, position and last_position (of the first and the last pass), each row of docs once; in order of position.
 
     Whole passes over a source come first; what is left of its target is taken from its documents in turn, the last
     of them in part. So the words taken from a source miss its target by less than one word.
     """
-    out = _planned(docs, id_col, text_col, source_col, plan or Curriculum())
+    out = _planned(docs, id_col, text_col, source_col, plan or Curriculum()).drop("positions")
     return out.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", plan: Curriculum | None = None) -> DataFrame:
-    """docs as training meets them in the first pass: rows of which the mix takes nothing are gone, the others stand in order of position.
-
-    Rows come as often as the mix passes over them, each by its own share of the plan.
-    """
+    """docs as training meets them: a row for each pass over a document, range-sorted by the pass's position; rows of which the mix takes nothing are gone."""
     keyed, row = keyed_rows(docs, id_col)
-    passes, place, turn, key = fresh(keyed, "_passes", "_position", "_turn", "_key")
+    places, place, key = fresh(keyed, "_positions", "_position", "_key")
     planned = _planned(keyed, id_col, text_col, source_col, plan or Curriculum(), row)
-    chosen = planned.filter(F.col("passes") > 0).select(F.col("row").alias(key), F.col("passes").alias(passes), F.col("position").alias(place))
-    rows = keyed.join(chosen, named(row) == F.col(key)).withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(passes))))
-    return rows.orderBy(turn, place).select(*[named(c) for c in docs.columns])
+    chosen = planned.filter(F.col("passes") > 0).select(F.col("row").alias(key), F.col("positions").alias(places))
+    rows = keyed.join(chosen, named(row) == F.col(key)).withColumn(place, F.explode(F.col(places)))
+    return rows.orderBy(place, key).select(*[named(c) for c in docs.columns])
 
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(doc_id::VARCHAR) AS code FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, text, '')) AS code FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_rank FROM d GROUP BY source
 ), c AS (
@@ -150,13 +157,17 @@ WITH d AS (
 ), p AS (
   SELECT *, greatest(0, least(floor(target + 0.5)::BIGINT - whole * source_size - before, size))::BIGINT AS part FROM r
 ), k AS (
-  SELECT *, (whole * size + part)::BIGINT AS taken,
-         least(1.0::DOUBLE, (before + (CASE WHEN whole > 0 THEN size ELSE part END)::DOUBLE / 2) / target) * [5.0::DOUBLE, 2.0, 1.0][kind + 1] AS asked,
-         [7.0::DOUBLE, 1.0, 0.5][kind + 1] AS w0, [5.0::DOUBLE, 2.0, 1.0][kind + 1] AS w1, [-4.0::DOUBLE, 2.0, 1.0][kind + 1] AS slope, [3.0::DOUBLE, 0.75, 0.375][kind + 1] AS half
+  SELECT *, (whole * size + part)::BIGINT AS taken, CASE WHEN whole * size + part > 0 THEN whole + (part > 0)::BIGINT ELSE 0 END AS passes,
+         [5.0::DOUBLE, 2.0, 1.0][kind + 1] AS asked_in_all, [7.0::DOUBLE, 1.0, 0.5][kind + 1] AS w0, [5.0::DOUBLE, 2.0, 1.0][kind + 1] AS w1, [-4.0::DOUBLE, 2.0, 1.0][kind + 1] AS slope, [3.0::DOUBLE, 0.75, 0.375][kind + 1] AS half
   FROM p
+), m AS (
+  SELECT *, least(1.0::DOUBLE, (before + (CASE WHEN whole > 0 THEN size ELSE part END)::DOUBLE / 2) / target) * asked_in_all AS first,
+         least(1.0::DOUBLE, ((passes - 1) * source_size + before + (CASE WHEN part > 0 THEN part ELSE size END)::DOUBLE / 2) / target) * asked_in_all AS last FROM k
 )
-SELECT doc_id, source, size, source_size, target, taken, CASE WHEN taken > 0 THEN whole + (part > 0)::BIGINT ELSE 0 END AS passes,
-       CASE WHEN taken = 0 THEN NULL WHEN asked < half THEN 0.0 + 2.0 * asked / (w0 + sqrt(w0 * w0 + 2.0 * slope * asked))
-            ELSE 0.5 + 2.0 * (asked - half) / (w1 + sqrt(w1 * w1 + 2.0 * slope * (asked - half))) END AS position
-FROM k
+SELECT doc_id, source, size, source_size, target, taken, passes,
+       CASE WHEN taken = 0 THEN NULL WHEN first < half THEN 0.0 + 2.0 * first / (w0 + sqrt(w0 * w0 + 2.0 * slope * first))
+            ELSE 0.5 + 2.0 * (first - half) / (w1 + sqrt(w1 * w1 + 2.0 * slope * (first - half))) END AS position,
+       CASE WHEN taken = 0 THEN NULL WHEN last < half THEN 0.0 + 2.0 * last / (w0 + sqrt(w0 * w0 + 2.0 * slope * last))
+            ELSE 0.5 + 2.0 * (last - half) / (w1 + sqrt(w1 * w1 + 2.0 * slope * (last - half))) END AS last_position
+FROM m
 """
