@@ -1,63 +1,81 @@
-"""Exact dedup: a tree merge of digest runs, in DataFrame operations alone.
-
-Every row's text is digested and the row belongs to one of 64 leaves by its identifier. A leaf's run has one
-row for each of its digests: group size and the identifier that stays. Rounds then merge the runs of FAN nodes
-into one, until a single level is left; each round is an aggregation on (node, digest), so a group that holds a
-third of all rows is at most 64 rows after the first level. On the way back a digest is sent only to the leaves
-that have it, as the merged bits tell, so no task gets a hot group whole.
-
-A run's key is SHA-256 with the length in bytes and an independent 64-bit hash of the text: identifiers meet at
-a level only when all three agree (this is the verification; it ships 48 bytes and never the texts).
-
-Defined results: null text counts as empty. Null identifiers lose against all others; a group of null
-identifiers alone keeps a null. Of rows that repeat identifier and text, one is kept; all count in group_size.
-An empty table gives an empty result. Other columns, whatever their names, pass through keep() untouched.
+"""Exact dedup: a tree merge of sorted digest runs, in DataFrame operations alone.
+
+A row belongs to one of 64 leaves by its identifier. A leaf's run has one entry for each of its digests, in order of
+the digest: group size, the identifier that stays, the leaves it came from. In each round the runs of 2 ** FAN_BITS
+neighbouring nodes are exchanged and merged into their parent's run, until one is left (64 to 8 to 1): runs are dealt
+by (node, key), sorted within their partitions, and merged by sort-based aggregation that streams through equal keys.
+The best identifier is kept as a struct, which the engine aggregates over sorted input, on both sides of the exchange.
+So a task passes on its part of a run sorted and merged, and a group that holds a third of all rows is 64 entries
+after the first round. On the way back a digest is sent only to the leaves that have it, as the merged bits tell.
+
+Verification at each level: a run's key is SHA-256 with the length in bytes and an independent 64-bit hash of the
+text, and entries merge only when all three agree. The texts themselves are not compared (they never leave their
+partitions): two different texts would have to agree in all of 320 bits and their length.
+
+Defined results: null text counts as empty. Very long texts are digested whole. Null identifiers lose against all
+others; a group of null identifiers alone keeps a null. Where rows share or lack an identifier they are told apart by
+a row number in a written copy: of rows that repeat identifier and text (a tie), one is kept; all count in
+group_size. An empty table gives an empty result. Other columns, whatever their names, pass through keep() untouched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LEAVES, fresh, leaf_mask, leaf_of, named, with_leaves
+from .common import LEAVES, fresh, keyed_rows, leaf_mask, leaf_of, named, with_leaves
 
 #: Runs merged into one in a round, as a power of two.
 FAN_BITS = 3
+KEY = ["digest", "bytes", "check"]
 
 
-def _judged(docs: DataFrame, id_col: str, text_col: str, keep: str, carried: list[str]) -> tuple[DataFrame, dict[str, str]]:
-    """The rows with the verdict on each; names of the added columns."""
-    names = ("digest", "bytes", "check", "leaf", "id", "first", "stays", "size")
-    n = dict(zip(names, fresh(docs, *(f"_x_{x}" for x in names)), strict=True))
+def _digested(docs: DataFrame, id_col: str, row_col: str, text_col: str) -> DataFrame:
+    """id, row (what tells rows apart), leaf and the key; no part of the key can be null, or the join would digest texts once more to ask."""
     text = F.coalesce(named(text_col).cast("string"), F.lit(""))
-    key = [n["digest"], n["bytes"], n["check"]]
+    return docs.select(named(id_col).alias("id"), named(row_col).alias("row"), leaf_of(named(row_col)).alias("leaf"), F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"")).alias("digest"), F.octet_length(text).alias("bytes"), F.xxhash64(text).alias("check"))
+
+
+def _merged(run: DataFrame, node: Column, best: Column, size: Column, leaves: Column) -> DataFrame:
+    """The runs of one level, merged into those of the nodes above."""
+    runs = run.withColumn("leaf", node)
+    return runs.groupBy("leaf", *KEY).agg(size.alias("size"), best.alias("best"), leaves.alias("leaves"))
+
+
+def _verdicts(rows: DataFrame, keep: str) -> DataFrame:
+    """The last run, with a row for each leaf that has the digest: KEY, leaf, size, best (known, id, row)."""
+    # Null identifiers lose: "known" is ordered before the identifier; of equal identifiers one row wins.
     best = {"largest": F.max, "smallest": F.min}[keep]
+    known = F.col("id").isNotNull() if keep == "largest" else F.col("id").isNull()
+    run = rows.withColumn("best", F.struct(known.alias("known"), F.col("id"), F.col("row")))
+    run = _merged(run, F.col("leaf"), best("best"), F.count(F.lit(1)), leaf_mask(F.col("leaf")))
+    top = (LEAVES - 1).bit_length()
+    for level in range(0, top, FAN_BITS):
+        node = F.lit(0) if level + FAN_BITS >= top else F.shiftright("leaf", FAN_BITS)
+        run = _merged(run, node, best("best"), F.sum("size"), F.bit_or("leaves"))
+    return with_leaves(run.drop("leaf"), "leaves", "leaf")
 
-    def digested(columns: list[str]) -> DataFrame:
-        own: list[Column] = [F.unhex(F.sha2(text, 256)).alias(n["digest"]), F.octet_length(text).alias(n["bytes"]), F.xxhash64(text).alias(n["check"]), leaf_of(named(id_col)).alias(n["leaf"]), named(id_col).alias(n["id"])]
-        return docs.select(*[named(c) for c in columns], *own)
 
-    run = digested([]).groupBy(n["leaf"], *key).agg(F.count(F.lit(1)).alias(n["size"]), best(n["id"]).alias(n["stays"]), leaf_mask(F.col(n["leaf"])).alias("_bits"))
-    for level in range(0, (LEAVES - 1).bit_length(), FAN_BITS):
-        node = F.lit(0) if level + FAN_BITS >= (LEAVES - 1).bit_length() else F.shiftright(F.col(n["leaf"]), FAN_BITS)
-        run = run.withColumn(n["leaf"], node).groupBy(n["leaf"], *key).agg(F.sum(n["size"]).alias(n["size"]), best(n["stays"]).alias(n["stays"]), F.bit_or("_bits").alias("_bits"))
-    verdicts = with_leaves(run.drop(n["leaf"]), "_bits", n["leaf"])
-    once = Window.partitionBy(*key, n["leaf"], n["id"]).orderBy(n["id"])
-    rows = digested(carried).repartition(*key, n["leaf"]).withColumn(n["first"], F.row_number().over(once) == 1)
-    return rows.join(verdicts, [*key, n["leaf"]]), n
+def _judged(docs: DataFrame, id_col: str, row_col: str, text_col: str, keep: str) -> DataFrame:
+    """id, row, digest, size, best, kept: a row for each row of docs, without its text."""
+    rows = _digested(docs, id_col, row_col, text_col)
+    judged = rows.join(_verdicts(rows, keep), [*KEY, "leaf"])
+    return judged.select("id", "row", "digest", "size", "best", F.col("row").eqNullSafe(F.col("best.row")).alias("kept"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: a row for each row of docs, dropped ones too."""
-    rows, n = _judged(docs, id_col, text_col, keep, [])
-    c = {k: F.col(v) for k, v in n.items()}
-    return rows.select(c["id"].alias("doc_id"), c["stays"].alias("keep_id"), c["size"].alias("group_size"), (c["id"].eqNullSafe(c["stays"]) & c["first"]).alias("kept"), F.lower(F.hex(c["digest"])).alias("text_sha256"))
+    keyed, row = keyed_rows(docs, id_col)
+    judged = _judged(keyed, id_col, row, text_col, keep)
+    return judged.select(F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), F.col("size").alias("group_size"), "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", which: str = "largest") -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    rows, n = _judged(docs, id_col, text_col, which, docs.columns)
-    return rows.filter(F.col(n["id"]).eqNullSafe(F.col(n["stays"])) & F.col(n["first"])).select(*[named(c) for c in docs.columns])
+    """The rows of docs that stay, with all their columns: rows are judged without their texts, then those that go are taken out."""
+    keyed, row = keyed_rows(docs, id_col)
+    (gone,) = fresh(keyed, "_gone")
+    lost = _judged(keyed, id_col, row, text_col, which).filter("not kept").select(F.col("row").alias(gone))
+    return keyed.join(lost, named(row) == F.col(gone), "left_anti").select(*[named(c) for c in docs.columns])
 
 
 ORACLE = """

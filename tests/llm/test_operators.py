@@ -49,6 +49,32 @@ def test_exact_dedup(docs):
     assert sorted(str(r.doc_id) for r in exact_dedup.keep(docs).collect()) == ["2", "4", "5", "6", "7", "None"]
 
 
+@pytest.mark.parametrize("which", ["largest", "smallest"])
+def test_exact_dedup_equals_brute_force(spark, which):
+    rng = random.Random(9)
+    rows = [(rng.choice([None, *range(60)]), rng.choice([None, "", "a", "a ", "A", "hot", "hot", "hot", LONG, LONG + "x"])) for _ in range(300)]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row int")
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t or "", []).append(i)
+    best = {"largest": max, "smallest": min}[which]
+    stays = {t: best((i for i in g if i is not None), default=None) for t, g in groups.items()}
+    wanted = sorted(str((i, stays[t or ""], len(groups[t or ""]), hashlib.sha256((t or "").encode()).hexdigest())) for i, t in rows)
+    got = exact_dedup.exact_dedup(df, keep=which).collect()
+    assert sorted(str((r.doc_id, r.keep_id, r.group_size, r.text_sha256)) for r in got) == wanted
+    kept = [r for r in got if r.kept]
+    assert sorted(str((r.doc_id, r.text_sha256)) for r in kept) == sorted(str((i, hashlib.sha256(t.encode()).hexdigest())) for t, i in stays.items())
+    out = exact_dedup.keep(df, which=which)
+    assert out.columns == df.columns and sorted(str((r.doc_id, r.text or "")) for r in out.collect()) == sorted(str((i, t)) for t, i in stays.items())
+
+
+def test_runs_are_merged_in_order(spark):
+    """Every level of the tree is an aggregation over sorted runs."""
+    df = exact_dedup.exact_dedup(spark.createDataFrame([(1, "x")], "doc_id long, text string"))
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortAggregate") == 6 and "HashAggregate" not in plan and "MapInArrow" not in plan
+
+
 def test_repeated_rows_leave_one(spark):
     df = spark.createDataFrame([(1, "x")] * 5, "doc_id long, text string")
     assert exact_dedup.keep(df).count() == 1
