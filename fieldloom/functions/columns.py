@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,21 +34,57 @@ def blank(c: Column, kind: T.DataType) -> Column:
     return c.isNotNull() & (trimmed(c) == "") if isinstance(kind, T.StringType) else F.lit(False)
 
 
+#: Powers of ten that are doubles exactly.
+_TENS = tuple(float(10**k) for k in range(23))
+
+
+def digits15(x: Column) -> Column:
+    """The double nearest to x at 15 significant digits, and one zero: numbers that read alike are equal afterwards. Arithmetic where powers of ten are exact, text beyond."""
+    size = F.abs(x)
+    digit = F.lit(15) - F.floor(F.log10(size))
+    scale = F.element_at(F.array(*[F.lit(t) for t in _TENS]), F.greatest(F.lit(1), F.least(F.lit(23), digit)).cast("int"))
+    return F.when(x == 0, F.lit(0.0)).when((size >= 1e-6) & (size < 1e14), F.rint(x * scale) / scale).when(x.isNotNull(), F.format_string("%.14e", x).cast("double"))
+
+
 def canonical(c: Column, kind: T.DataType) -> Column:
-    """The text by which values are told apart: 15 significant digits, UTC seconds, ISO dates, JSON."""
+    """The text by which values are told apart: numbers plain at 15 significant digits (1 for 1.0, one zero), UTC seconds, ISO dates, JSON."""
     if isinstance(kind, FLOATS):
-        return F.format_string("%.14e", c.cast("double")).cast("double").cast("string")
+        x = digits15(c.cast("double"))
+        return F.when((x == 0) | (F.abs(x) >= 1e-6) & (F.abs(x) < 1e15), number_text(x)).otherwise(x.cast("string"))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     if isinstance(kind, T.BooleanType):
         return F.upper(c.cast("string"))
-    if isinstance(kind, NESTED):
+    if isinstance(kind, (*NESTED, T.VariantType)):
         return F.to_json(c, {"ignoreNullFields": "false"})
     if isinstance(kind, T.BinaryType):
         return F.base64(c)
     return c.cast("string")
 
 
+def code_text(code: object) -> str:
+    """The same for a value label's code, a number or its text, as far as the column holds numbers."""
+    text = str(code).strip()
+    try:
+        x = float(text)
+    except ValueError:
+        return str(code)
+    if x != x or abs(x) == float("inf") or not re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", text):
+        return str(code)
+    plain = format(Decimal(f"{x + 0.0:.14e}"), "f")
+    return plain.rstrip("0").rstrip(".") if "." in plain else plain
+
+
+def comparable(c: Column, kind: T.DataType) -> Column:
+    """The column, or its JSON where values can't be grouped or hashed as they are (maps and variants, at any depth)."""
+    return F.to_json(c, {"ignoreNullFields": "false"}) if _holds(kind, (T.MapType, T.VariantType)) else c
+
+
+def _holds(kind: T.DataType, what: tuple) -> bool:
+    inner = [kind.elementType] if isinstance(kind, T.ArrayType) else [f.dataType for f in kind.fields] if isinstance(kind, T.StructType) else []
+    return isinstance(kind, what) or any(_holds(k, what) for k in inner)
+
+
 def number_text(x: Column) -> Column:
     """Plain decimal notation at 15 significant digits (up to 1e20 and 18 decimals)."""
     whole = (x % F.lit(1.0) == 0) & (F.abs(x) < 1e15)
@@ -114,10 +151,18 @@ def source_stem(path: Column) -> Column:
     return F.regexp_replace(base, r"\.[^.]*$", "")
 
 
+#: Groups of artifacts by their paths. Later rules win.
+GROUPS = (("open_science_metadata_report", "public report"), ("categorical_levels|value_labels|documentation_gaps", "dictionary + metadata"), ("data_dictionary|variable_dictionary|dictionary_schema", "dictionary"), ("resolved_config|artifact_manifest", "control"), ("metadata_report", "combined report"))
+
+
 def artifact_group(path: Column) -> Column:
-    """Later rules win: they are asked first."""
-    rules = (("open_science_metadata_report", "public report"), ("categorical_levels|value_labels|documentation_gaps", "dictionary + metadata"), ("data_dictionary|variable_dictionary|dictionary_schema", "dictionary"), ("resolved_config|artifact_manifest", "control"), ("metadata_report", "combined report"))
+    """Earlier rules are asked first here, as each is put before those that follow."""
     out = F.lit("metadata")
-    for pattern, group in reversed(rules):
+    for pattern, group in reversed(GROUPS):
         out = F.when(path.rlike(pattern), group).otherwise(out)
     return out
+
+
+def group_of(path: str) -> str:
+    """The same for one path on the driver."""
+    return next((group for pattern, group in GROUPS if re.search(pattern, path)), "metadata")

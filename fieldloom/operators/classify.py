@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import FLOATS, INTEGERS, NESTED, normalize
+from ..functions.columns import FLOATS, INTEGERS, NESTED, code_text, normalize
 from .profile import DURATIONS, Table, frequencies, pattern_ratios, stats
 
 
@@ -53,8 +52,13 @@ def _facts(table: Table) -> DataFrame:
     rows = []
     for (i, _, f), (idn, sens) in zip(table.columns(), name_hints([f.name for f in table.fields], table.config), strict=True):
         m = f.metadata or {}
-        rows.append((i, kind_of(f, table.config), isinstance(f.dataType, T.StringType), idn, sens, m.get("label") or None, len(m.get("labels") or {}), len(m["levels"]) if m.get("levels") is not None else None, m.get("units"), m.get("format"), json.dumps(m["na_values"]) if m.get("na_values") else None))
-    return table.df.sparkSession.createDataFrame(rows, "variable_position long, rule string, is_text boolean, id_hint boolean, sens_hint boolean, variable_label string, n_value_labels long, n_defined_factor_levels long, units string, source_display_format string, user_missing_values string")
+        rows.append((i, kind_of(f, table.config), isinstance(f.dataType, T.StringType), idn, sens, m.get("label") or None, len(m.get("labels") or {}), len(m["levels"]) if m.get("levels") is not None else None, m.get("units"), m.get("format"), f.dataType.simpleString(), tag_text(m.get("tags")), "; ".join(map(code_text, m["na_values"])) if m.get("na_values") else None, " to ".join(map(code_text, m["na_range"])) if m.get("na_range") else None))
+    return table.df.sparkSession.createDataFrame(rows, "variable_position long, rule string, is_text boolean, id_hint boolean, sens_hint boolean, variable_label string, n_value_labels long, n_defined_factor_levels long, units string, source_display_format string, engine_type string, tagged_missing_summary string, user_missing_values string, user_missing_range string")
+
+
+def tag_text(tags: dict[str, int] | None) -> str | None:
+    """Counts of the tags of missing values, as their reader found them: the most frequent first, ties by tag."""
+    return "; ".join(f"{t}={n}" for t, n in sorted(tags.items(), key=lambda x: (-x[1], x[0]))) if tags else None
 
 
 def role_hints(table: Table, freq: DataFrame | None = None) -> DataFrame:

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .profile import Table, frequencies
+from ..functions.columns import code_text
+from .profile import NUMERIC, Table, frequencies
 
 LEVELS = "variable_position long, variable_name string, level_order long, raw_value string, value_label string, display_value string, count long, percent_of_nonmissing double, percent_of_all double, is_missing boolean, is_other_unreported boolean"
 
 
 def value_labels(table: Table) -> DataFrame:
     """A row for each code-label pair of the fields' metadata."""
-    rows = [(i, table.display(i), k + 1, str(code), label) for i, _, f in table.columns() for k, (code, label) in enumerate(((f.metadata or {}).get("labels") or {}).items())]
+    rows = [(i, table.display(i), k + 1, code_text(code) if isinstance(f.dataType, NUMERIC) else str(code), label) for i, _, f in table.columns() for k, (code, label) in enumerate(((f.metadata or {}).get("labels") or {}).items())]
     return table.df.sparkSession.createDataFrame(rows, "variable_position long, variable_name string, label_order long, raw_value string, value_label string")
 
 
@@ -28,11 +29,18 @@ def defined_levels(table: Table) -> DataFrame:
 
 
 def categorical_levels(table: Table, variables: DataFrame, freq: DataFrame | None = None) -> DataFrame:
-    """Levels of the eligible columns: by count, then text (defined domains in their order, zero counts too); capped, with a row for the rest and one for missing values."""
+    """Levels of the eligible columns: by count, then text (defined domains in their order, zero counts too); capped, with a row for the rest and one for missing values.
+
+    variables is read here once (a row for each column), so that only the eligible columns are counted; freq, if given,
+    has whole texts of those.
+    """
+    rows = variables.select("variable_position", "variable_name", "n_rows", "n_non_missing", "n_missing", "categorical_eligible").collect()
+    spark = table.df.sparkSession
+    own = spark.createDataFrame([tuple(r)[:5] for r in rows if r["categorical_eligible"]], "variable_position long, variable_name string, n_rows long, n_non_missing long, n_missing long")
+    eligible = [r["variable_position"] for r in rows if r["categorical_eligible"]]
     p = table.config["profiling"]
     most = p["max_levels_reported"]
-    own = variables.filter("categorical_eligible").select("variable_position", "variable_name", "n_rows", "n_non_missing", "n_missing")
-    seen = (frequencies(table) if freq is None else freq).select("variable_position", "value", "n").join(F.broadcast(own.select("variable_position")), "variable_position", "left_semi")
+    seen = (frequencies(table, eligible, True) if freq is None else freq).select("variable_position", "value", "n").filter(F.col("variable_position").isin(*eligible))
     both = seen.join(defined_levels(table), ["variable_position", "value"], "full").withColumn("n", F.coalesce("n", F.lit(0)))
     order = Window.partitionBy("variable_position").orderBy(F.col("defined").asc_nulls_last(), F.desc("n"), "value")
     placed = both.join(F.broadcast(own), "variable_position").withColumn("level_order", F.row_number().over(order).cast("long"))

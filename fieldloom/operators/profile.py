@@ -1,7 +1,9 @@
 """Profiling: one wide aggregate for counts and moments, one frequency table for everything that needs distinct values.
 
-The frequency table has a row for each distinct value of each column (column position, text, count, first row), built
+The frequency table has a row for each distinct value of each column (column position, value, count, first row), built
 by one exploded aggregation with map-side combination; distinct counts, levels, examples and samples come from it.
+Values are grouped as numbers, times or texts, and long texts by their beginning and a digest; only distinct ones are
+turned into canonical text.
 """
 
 from __future__ import annotations
@@ -12,11 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import FLOATS, INTEGERS, blank, canonical, missing, trimmed
+from ..functions.columns import FLOATS, INTEGERS, blank, canonical, comparable, digits15, missing, trimmed
 
 NUMERIC = (*FLOATS, *INTEGERS, T.DecimalType)
 TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 DURATIONS = (T.DayTimeIntervalType, T.YearMonthIntervalType)
+#: Shapes of texts. Characters of a text that the frequency table keeps whole.
+SHAPES = {"email": r"^[^\s@]+@[^\s@]+\.[^\s@]+$", "phone": r"^\+?[0-9][0-9 ()-]{6,}$", "uuid": r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[1-5][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"}
+LONG = 1000
 
 
 class Table:
@@ -35,9 +40,23 @@ class Table:
     def display(self, i: int) -> str:
         return self.fields[i - 1].name or f"<unnamed_{i}>"
 
+    def absent(self, c: Column, f: T.StructField) -> Column:
+        """Null, NaN, or one of the values that the source declares missing (na_values, na_range of the field's metadata)."""
+        out, m = missing(c, f.dataType), f.metadata or {}
+        for v in m.get("na_values") or []:
+            out |= F.coalesce(c == F.lit(v), F.lit(False))
+        if m.get("na_range"):
+            low, high = m["na_range"]
+            out |= F.coalesce((c >= F.lit(low)) & (c <= F.lit(high)), F.lit(False))
+        return out
+
     def gone(self, c: Column, f: T.StructField) -> Column:
         """Effectively missing."""
-        return missing(c, f.dataType) | blank(c, f.dataType) if self.config["profiling"]["blank_as_missing"] else missing(c, f.dataType)
+        return self.absent(c, f) | blank(c, f.dataType) if self.config["profiling"]["blank_as_missing"] else self.absent(c, f)
+
+    def known(self, c: Column, f: T.StructField) -> Column:
+        """The column without values that are declared missing."""
+        return F.when(~self.absent(c, f), c) if {"na_values", "na_range"} & set(f.metadata or {}) else c
 
 
 def finite(c: Column, kind: T.DataType) -> Column:
@@ -59,7 +78,7 @@ def quartiles(table: Table, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> Da
     column, so they can be broadcast) are counted by more bits, then by value. Each round shuffles counts of bins,
     whose number the code's width bounds, and never the values.
     """
-    cells = {i: finite(c, f.dataType) for i, c, f in table.columns() if isinstance(f.dataType, NUMERIC)}
+    cells = {i: finite(table.known(c, f), f.dataType) for i, c, f in table.columns() if isinstance(f.dataType, NUMERIC)}
     if not cells:
         return table.df.sparkSession.createDataFrame([], "variable_position int" + "".join(f", q{k} double" for k in range(len(shares))))
     place = F.element_at(F.array(*[F.lit(i) for i in cells]), F.col("pos") + 1)
@@ -88,21 +107,26 @@ def quartiles(table: Table, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> Da
     return ends.select(*key, *[mixed(k, s).alias(f"q{k}") for k, s in enumerate(shares)])
 
 
+BASIC_SCHEMA = "variable_position long, variable_name string, source_variable_name string, storage_type string, n_rows long, n_system_missing long, n_missing long, n_blank_strings long, n_non_missing long, string_min_length double, string_mean_length double, string_max_length double, n_leading_trailing_whitespace long, numeric_min double, numeric_q1 double, numeric_median double, numeric_mean double, numeric_q3 double, numeric_max double, numeric_sd double, n_infinite long, date_min string, date_max string, timezone string"
+
+
 def basic_stats(table: Table) -> DataFrame:
-    """A row for each column: counts, numeric and date summaries, text lengths. One pass, one row shuffled per task; quartiles() if any column is numeric."""
+    """A row for each column: counts, numeric and date summaries, text lengths. One pass, one row shuffled per task; quartiles are null, with_quartiles() has them."""
+    if not table.fields:
+        return table.df.sparkSession.createDataFrame([], BASIC_SCHEMA)
     aggs, rows = [F.count(F.lit(1)).alias("rows")], []
     for i, c, f in table.columns():
         gone, kind = table.gone(c, f), f.dataType
         text, numeric, time = isinstance(kind, T.StringType), isinstance(kind, NUMERIC), isinstance(kind, TIMES)
         own: dict[str, Column | None] = {
-            "n_system_missing": F.count_if(missing(c, kind)), "n_missing": F.count_if(gone), "n_blank_strings": F.count_if(blank(c, kind)) if text else None,
+            "n_system_missing": F.count_if(table.absent(c, f)), "n_missing": F.count_if(gone), "n_blank_strings": F.count_if(blank(c, kind)) if text else None,
             "string_min_length": F.min(F.when(~gone, F.length(c))).cast("double") if text else None, "string_mean_length": F.avg(F.when(~gone, F.length(c))) if text else None, "string_max_length": F.max(F.when(~gone, F.length(c))).cast("double") if text else None,
             "n_leading_trailing_whitespace": F.count_if(c != trimmed(c)) if text else None,
         }
         if numeric:
             x = c.cast("double")
-            known = finite(c, kind)
-            own |= {"numeric_min": F.min(known), "numeric_mean": F.avg(known), "numeric_max": F.max(known), "numeric_sd": F.stddev_samp(known), "n_infinite": F.count_if(F.abs(x) == float("inf")) if isinstance(kind, FLOATS) else None}
+            known = finite(table.known(c, f), kind)
+            own |= {"numeric_min": F.min(known) + 0.0, "numeric_mean": F.avg(known), "numeric_max": F.max(known) + 0.0, "numeric_sd": F.stddev_samp(known), "n_infinite": F.count_if(F.abs(x) == float("inf")) if isinstance(kind, FLOATS) else None}
         if time:
             shape = "yyyy-MM-dd" if isinstance(kind, T.DateType) else "yyyy-MM-dd'T'HH:mm:ss'Z'"
             own |= {"date_min": F.date_format(F.min(c), shape), "date_max": F.date_format(F.max(c), shape)}
@@ -117,23 +141,60 @@ def basic_stats(table: Table) -> DataFrame:
             take("numeric_min", "double"), *[F.lit(None).cast("double").alias(q) for q in ("numeric_q1", "numeric_median")], take("numeric_mean", "double"), F.lit(None).cast("double").alias("numeric_q3"), take("numeric_max", "double"), take("numeric_sd", "double"), zero("n_infinite"),
             take("date_min", "string"), take("date_max", "string"), F.lit("UTC" if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else None).cast("string").alias("timezone"),
         ))
-    out = table.df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return table.df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+def with_quartiles(table: Table, stats: DataFrame) -> DataFrame:
+    """stats with quartiles of the numeric columns, if there are any: three more scans of those columns."""
     if not any(isinstance(f.dataType, NUMERIC) for f in table.fields):
-        return out
+        return stats
     # A row for each column on both sides.
     names = {"numeric_q1": 0.25, "numeric_median": 0.5, "numeric_q3": 0.75} if table.config["profiling"]["include_quantiles"] else {"numeric_median": 0.5}
     ranked = quartiles(table, tuple(names.values())).withColumnRenamed("variable_position", "at")
-    joined = out.join(F.broadcast(ranked), F.col("variable_position") == F.col("at"), "left")
-    return joined.withColumns({q: F.col(f"q{k}") for k, q in enumerate(names)}).select(*out.columns)
+    joined = stats.join(F.broadcast(ranked), F.col("variable_position") == F.col("at"), "left")
+    return joined.withColumns({q: F.col(f"q{k}") for k, q in enumerate(names)}).select(*stats.columns)
+
 
+def frequencies(table: Table, only: list[int] | None = None, whole: bool = False) -> DataFrame:
+    """variable_position, value (canonical text), long, shape, n, first_row, of all columns or those at the given positions; effectively missing values are left out.
 
-def frequencies(table: Table, only: list[int] | None = None) -> DataFrame:
-    """variable_position, value (canonical text), n, first_row, of all columns or those at the given positions; effectively missing values are left out."""
-    cells = [F.struct(F.lit(i).alias("variable_position"), F.when(~table.gone(c, f), canonical(c, f.dataType)).alias("value")) for i, c, f in table.columns() if only is None or i in only]
+    Unless `whole`, texts beyond LONG characters come as their first ones, told apart by the digest `long`; `shape` has
+    a bit for each of SHAPES that such a text has. Doubles are grouped at 15 significant digits.
+    """
+    cells, texts = [], []
+    for i, c, f in table.columns():
+        if only is not None and i not in only:
+            continue
+        kind, there = f.dataType, ~table.gone(c, f)
+        cell: dict[str, Column | None] = {"d": None, "l": None, "t": None, "long": None, "shape": None}
+        if isinstance(kind, FLOATS):
+            cell["d"] = digits15(c.cast("double"))
+            texts.append((i, canonical(F.col("d"), T.DoubleType())))
+        elif isinstance(kind, INTEGERS):
+            cell["l"] = c.cast("long")
+            texts.append((i, F.col("l").cast("string")))
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            cell["l"] = F.unix_seconds(c.cast("timestamp"))
+            texts.append((i, F.date_format(F.timestamp_seconds("l"), "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+        else:
+            text = cell["t"] = canonical(c, kind)
+            texts.append((i, F.col("t")))
+            if not whole and not isinstance(kind, (T.DateType, T.BooleanType, T.DecimalType, *DURATIONS)):
+                big = F.length(text) > LONG
+                bits = sum((F.when(text.rlike(p), 1 << k).otherwise(0) for k, p in enumerate(SHAPES.values())), F.lit(0)) if isinstance(kind, T.StringType) else F.lit(0)
+                cell |= {"t": F.when(big, F.substring(text, 1, LONG)).otherwise(text), "long": F.when(big, F.unhex(F.sha2(text, 256))), "shape": F.when(big, bits)}
+        kinds = {"d": "double", "l": "long", "t": "string", "long": "binary", "shape": "int"}
+        own = F.struct(F.lit(i).alias("variable_position"), *[(F.lit(None) if v is None else v).cast(kinds[k]).alias(k) for k, v in cell.items()])
+        cells.append(F.when(there, own))
     if not cells:
-        return table.df.sparkSession.createDataFrame([], "variable_position int, value string, n long, first_row long")
+        return table.df.sparkSession.createDataFrame([], "variable_position int, value string, long binary, shape int, n long, first_row long")
     numbered = table.df.withColumn("first_row", F.monotonically_increasing_id())
-    return numbered.select("first_row", F.inline(F.array(*cells))).filter("value is not null").groupBy("variable_position", "value").agg(F.count(F.lit(1)).alias("n"), F.min("first_row").alias("first_row"))
+    melted = numbered.select("first_row", F.explode(F.array_compact(F.array(*cells))).alias("x")).select("first_row", "x.*")
+    counted = melted.groupBy("variable_position", "d", "l", "t", "long", "shape").agg(F.count(F.lit(1)).alias("n"), F.min("first_row").alias("first_row"))
+    value = F.lit(None).cast("string")
+    for i, text in texts:
+        value = F.when(F.col("variable_position") == i, text).otherwise(value)
+    return counted.select("variable_position", value.alias("value"), "long", "shape", "n", "first_row")
 
 
 def first_values(table: Table, k: int, freq: DataFrame | None = None) -> DataFrame:
@@ -155,8 +216,8 @@ def pattern_ratios(table: Table, freq: DataFrame | None = None) -> DataFrame:
     """Shares of e-mail, phone and UUID shapes among the first 500 distinct values of each text column."""
     texts = [i for i, _, f in table.columns() if isinstance(f.dataType, T.StringType)]
     sample = first_values(table, 500, (frequencies(table) if freq is None else freq).filter(F.col("variable_position").isin(*texts)))
-    share = lambda p: F.avg(F.col("value").rlike(p).cast("double"))
-    return sample.groupBy("variable_position").agg(share(r"^[^\s@]+@[^\s@]+\.[^\s@]+$").alias("email_ratio"), share(r"^\+?[0-9][0-9 ()-]{6,}$").alias("phone_ratio"), share(r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[1-5][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$").alias("uuid_ratio"))
+    shares = [F.avg(F.when(F.col("long").isNotNull(), F.getbit("shape", F.lit(k)) == 1).otherwise(F.col("value").rlike(p)).cast("double")).alias(f"{name}_ratio") for k, (name, p) in enumerate(SHAPES.items())]
+    return sample.groupBy("variable_position").agg(*shares)
 
 
 def stats(table: Table, freq: DataFrame | None = None) -> DataFrame:
@@ -171,11 +232,12 @@ def stats(table: Table, freq: DataFrame | None = None) -> DataFrame:
     })
 
 
-def duplicate_rows(df: DataFrame) -> Column | DataFrame:
-    """Rows that repeat an earlier row; maps, which can't be compared, count by their JSON."""
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """n_rows, duplicate_rows: rows that repeat an earlier one. Rows are shuffled as 128 bits (two seeded 64-bit hashes, which tell nulls by a mask); maps and variants count by their JSON."""
     flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    flat = flat.select(*[F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in flat.schema.fields])
-    groups = flat.groupBy(*flat.columns).agg(F.count(F.lit(1)).alias("n"))
+    cells = [comparable(F.col(f.name), f.dataType) for f in flat.schema.fields]
+    nulls = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in cells])
+    groups = flat.groupBy(*[F.xxhash64(F.lit(seed), nulls, *cells).alias(f"h{seed}") for seed in (1, 2)]).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-import hashlib
 import html
 import os
 import platform
@@ -16,25 +15,21 @@ from itertools import islice
 from xml.sax.saxutils import escape, quoteattr
 
 import pyspark
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import load
-from ..functions.columns import slugify
+from ..functions.columns import group_of, slugify
 from ..operators.classify import classified
 from ..operators.dictionary import data_dictionary, dataset_issues, documentation_gaps, public_dictionary, variable_issues, with_examples
 from ..operators.levels import categorical_levels, value_labels
-from ..operators.profile import Table, dataset_cells, duplicate_rows, frequencies, union_fill
+from ..operators.profile import Table, dataset_cells, duplicate_rows, frequencies, union_fill, with_quartiles
 from ..operators.schema import schema_rows
+from ..operators.tables import CATALOG, COLUMNS, columns_of, coverage
 from ..sources import files
 
-#: Result tables with their product and grain.
-CATALOG = (
-    ("dictionary", "data_dictionary", "one row per variable"), ("dictionary + metadata", "categorical_levels", "one row per reported level"), ("dictionary + metadata", "value_labels", "one row per imported code-label pair"), ("dictionary", "dictionary_schema", "one row per dictionary column"),
-    ("dictionary + metadata", "documentation_gaps", "one row per documentation/review gap"), ("metadata", "run_metadata", "one row per run"), ("metadata", "summary", "one row per run"), ("metadata", "administrative_metadata", "one row per run"), ("metadata", "metadata_coverage", "one row per metadata category"),
-    ("metadata", "supported_formats", "one row per supported format"), ("metadata", "table_catalog", "one row per generated table"), ("metadata", "input_inventory", "one row per discovered file"), ("metadata", "file_metadata", "one row per discovered file"), ("metadata", "dataset_metadata", "one row per imported dataset/sheet/object"),
-    ("metadata", "provenance_metadata", "one row per imported dataset/sheet/object"), ("metadata", "variable_metadata", "one row per variable"), ("metadata", "import_problems", "one row per reader parsing problem"), ("metadata", "quality_issues", "one row per quality flag"), ("metadata", "errors", "one row per captured pipeline exception"),
-)
+PIPELINE, VERSION = "data_dictionary", "2.0.0"
 
 
 def profile(df: DataFrame, name: str = "data", config: dict | None = None, dataset_id: str | None = None, source_format: str = "in_memory", label: str | None = None, import_problems: int = 0) -> dict[str, DataFrame]:
@@ -42,22 +37,24 @@ def profile(df: DataFrame, name: str = "data", config: dict | None = None, datas
     table = Table(df, name, config, source_format, label)
     c, dataset_id = table.config, dataset_id or slugify(name)
     freq = frequencies(table)
-    found = with_examples(table, classified(table, freq), freq)
+    found = with_quartiles(table, with_examples(table, classified(table, freq), freq))
     # A row for each column: everything below is derived from these few rows, not from further scans.
     rows = found.collect()
     variables = df.sparkSession.createDataFrame(rows, found.schema)
-    freq = frequencies(table, [r["variable_position"] for r in rows if r["categorical_eligible"]])
+    freq = frequencies(table, [r["variable_position"] for r in rows if r["categorical_eligible"]], whole=True)
     dictionary = data_dictionary(table, variables, dataset_id, freq)
     p, key = c["profiling"], F.lit(dataset_id).alias("dataset_id")
+    # None: no limit. The count of rows decides whether duplicates are looked for.
     most = p["duplicate_check_max_rows"]
-    twice = duplicate_rows(df)
-    checked = F.lit(p["check_duplicate_rows"]) & (F.col("n_rows") <= most)
-    # The count of rows decides whether duplicates are looked for.
     n_rows = rows[0]["n_rows"] if rows else df.count()
-    if not p["check_duplicate_rows"] or n_rows > most:
-        twice = df.sparkSession.createDataFrame([(n_rows, None)], "n_rows long, duplicate_rows long")
-    cells = dataset_cells(table, variables)
-    facts = twice.crossJoin(cells).select(key, F.lit(name).alias("dataset_name"), F.lit(label).cast("string").alias("dataset_label"), F.lit(source_format).alias("source_format"), F.lit(import_problems).cast("long").alias("import_problem_count"), "n_rows", F.lit(len(df.columns)).cast("long").alias("n_columns"), "total_cells", "missing_cells", "percent_missing_cells", "blank_string_cells", "duplicate_rows", F.when(F.col("n_rows") > 0, 100.0 * F.col("duplicate_rows") / F.col("n_rows")).alias("percent_duplicate_rows"), checked.alias("duplicate_check_performed"))
+    twice, checked = None, False
+    if p["check_duplicate_rows"] and (most is None or n_rows <= most):
+        try:
+            twice, checked = duplicate_rows(df).first()["duplicate_rows"], True
+        except AnalysisException:  # a type whose values can't be compared
+            twice = None
+    cells = dataset_cells(table, variables).withColumns({"n_rows": F.lit(n_rows).cast("long"), "duplicate_rows": F.lit(twice).cast("long")})
+    facts = cells.select(key, F.lit(name).alias("dataset_name"), F.lit(label).cast("string").alias("dataset_label"), F.lit(source_format).alias("source_format"), F.lit(import_problems).cast("long").alias("import_problem_count"), F.col("n_rows"), F.lit(len(df.columns)).cast("long").alias("n_columns"), "total_cells", "missing_cells", "percent_missing_cells", "blank_string_cells", "duplicate_rows", F.when(F.col("n_rows") > 0, 100.0 * F.col("duplicate_rows") / F.col("n_rows")).alias("percent_duplicate_rows"), F.lit(checked).alias("duplicate_check_performed"))
     return {
         "variable_metadata": variables.select(key, "*"), "categorical_levels": categorical_levels(table, variables, freq).select(key, "*"), "value_labels": value_labels(table).select(key, "*"), "data_dictionary": dictionary, "documentation_gaps": documentation_gaps(dictionary, c["dictionary"]["flag_missing_definitions"]),
         "quality_issues": union_fill([variable_issues(table, variables, dataset_id), dataset_issues(facts, p)]), "dataset_metadata": facts,
@@ -73,7 +70,7 @@ def dictionary_of(df: DataFrame, max_categorical_levels: int = 10, dataset_id: s
 class Problems(Sequence):
     """All parsing problems of all datasets as rows, streamed from their files a partition at a time: they are never on the driver together. Slices are lists."""
 
-    names = ("source_file", "row", "col", "expected", "actual", "dataset_id")
+    names = tuple(columns_of("import_problems"))
 
     def __init__(self) -> None:
         self.parts: list[tuple[DataFrame, str, int]] = []
@@ -87,7 +84,7 @@ class Problems(Sequence):
     def __iter__(self) -> Iterator[dict]:
         for df, dataset_id, n in self.parts:
             if n:
-                yield from (r.asDict() | {"dataset_id": dataset_id} for r in df.toLocalIterator())
+                yield from ({"dataset_id": dataset_id} | r.asDict() for r in df.toLocalIterator())
 
     def __getitem__(self, at: int | slice) -> dict | list[dict]:
         if isinstance(at, slice):
@@ -119,7 +116,7 @@ def run(spark: SparkSession, inputs: list[str], output: str | None = None, confi
     if not paths:
         raise FileNotFoundError("no input files were found")
     problems = Problems()
-    t: dict[str, Sequence[dict]] = {name: [] for _, name, _ in CATALOG} | {"import_problems": problems}
+    t: dict[str, Sequence[dict]] = {name: [] for _, name, *_ in CATALOG} | {"import_problems": problems}
     datasets: list[files.Dataset] = []
 
     def failed(stage: str, path: str, dataset: str | None, e: Exception) -> None:
@@ -153,30 +150,49 @@ def run(spark: SparkSession, inputs: list[str], output: str | None = None, confi
             continue
         for k, rows in tables.items():
             t[k] += rows
-        t["dataset_metadata"][-1] |= {"source_file": d.source_file, "source_sheet": d.sheet, "source_object": d.object, "import_notes": d.notes}
         if d.problems is not None:
             problems.add(d.problems, d.dataset_id, n_problems)
-        one = tables["dataset_metadata"][0]
-        t["provenance_metadata"].append({"dataset_id": d.dataset_id, "source_file": d.source_file, "source_sheet": d.sheet, "source_object": d.object, "source_format": d.source_format, "source_file_md5": d.file_metadata.get("file_md5"), "imported_utc": now(), "pipeline_name": "data_dictionary", "n_rows": one["n_rows"], "n_columns": one["n_columns"]})
+        one = t["dataset_metadata"][-1]
+        package, function = files.READER_OF.get(d.source_format, (None, None))
+        size = float(str(d.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # the planner's estimate; nothing is held in memory
+        one |= {k: d.file_metadata.get(k) for k in columns_of("dataset_metadata") if k in d.file_metadata and k not in one}
+        one |= {"source_file": d.source_file, "source_sheet": d.sheet, "source_object": d.object, "import_notes": d.notes, "reader_package": package, "reader_function": function, "memory_bytes": size, "memory_human": files.human(size)}
+        t["provenance_metadata"].append({k: one.get(k) for k in columns_of("provenance_metadata")} | {"source_file_md5": one["file_md5"], "imported_utc": now(), "pipeline_name": PIPELINE, "pipeline_version": VERSION})
     m, n = c["metadata"], lambda k, f=lambda r: True: sum(map(bool, map(f, t[k])))
     t["dictionary_schema"] = schema_rows()
-    t["administrative_metadata"] = [{k: "; ".join(v) if isinstance(v, list) else v for k, v in m.items() if k != "run_comment"}]
-    t["supported_formats"] = [dict(zip(("family", "format", "extensions", "availability"), f, strict=True)) for f in files.FORMATS]
-    t["table_catalog"] = [dict(zip(("artifact_group", "table_name", "grain"), r, strict=True)) for r in CATALOG]
-    filled = any(v for k, v in m.items() if k != "run_comment")
-    t["metadata_coverage"] = [{"metadata_category": k, "coverage_status": s, "primary_tables": where} for k, s, where in (
-        ("descriptive", "captured", "dataset_metadata; data_dictionary"), ("structural", "captured", "variable_metadata; categorical_levels; value_labels"), ("administrative", "supplied" if filled else "not supplied", "administrative_metadata; file_metadata"), ("provenance", "captured", "provenance_metadata; run_metadata"), ("quality", "captured", "quality_issues; import_problems; errors"))]
-    t["run_metadata"] = [{"pipeline_name": "data_dictionary", "project_name": m["project_name"], "run_comment": m["run_comment"], "started_utc": now(began), "completed_utc": now(), "duration_seconds": time.time() - began, "engine_version": f"pyspark {pyspark.__version__}", "platform": platform.platform(), "output_directory": output}]
+    t["administrative_metadata"] = [{k: "; ".join(map(str, v)) or None if isinstance(v, list) else v for k, v in m.items() if k != "run_comment"}]
+    t["supported_formats"] = [dict(zip(("family", "format", "extensions", "availability"), f, strict=True)) | dict(zip(("reader_package", "reader_function"), files.READER_OF.get(f[1], (None, None)), strict=True)) | {"notes": files.NOTES.get(f[1])} for f in files.FORMATS]
+    t["table_catalog"] = [dict(zip(columns_of("table_catalog"), r, strict=True)) for r in CATALOG]
+    missing = n("data_dictionary", lambda r: not (r["business_definition"] or "").strip())
+    t["metadata_coverage"] = coverage(missing, any(str(v or "").strip() for v in t["administrative_metadata"][0].values()))
+    t["run_metadata"] = [{"pipeline_name": PIPELINE, "pipeline_version": VERSION, "project_name": m["project_name"], "run_comment": m["run_comment"], "started_utc": now(began), "completed_utc": now(), "duration_seconds": time.time() - began, "engine_version": f"pyspark {pyspark.__version__}", "platform": platform.platform(), "package_versions": packages(), "output_directory": output and os.path.abspath(output)}]
     t["summary"] = [{
         "input_files": len(paths), "supported_files": n("input_inventory", lambda r: r["supported"]), "files_read": n("input_inventory", lambda r: r["status"] == "read"), "files_failed": n("input_inventory", lambda r: r["status"] == "failed"), "datasets": n("dataset_metadata"), "variables": n("variable_metadata"), "dictionary_rows": n("data_dictionary"),
         "categorical_variables": n("data_dictionary", lambda r: r["categorical_eligible"]), "noncategorical_character_variables": n("data_dictionary", lambda r: r["semantic_type"] in ("high_cardinality_text", "free_text", "identifier")), "variables_missing_business_definition": n("data_dictionary", lambda r: not r["business_definition"]),
         "import_problems": len(problems), "quality_issues": n("quality_issues"), "errors": n("errors"),
     }]
+    # Every table has its columns in their order, whatever its rows brought.
+    for name in t:
+        if name != "import_problems":
+            t[name] = [{k: r.get(k) for k in columns_of(name)} for r in t[name]]
     if output:
         export(t, output, c)
     return t
 
 
+def packages() -> str:
+    """Versions of what reads and writes files."""
+    from importlib.metadata import PackageNotFoundError, version
+
+    found = []
+    for name in ("pyspark", "pyarrow", "pandas", "numpy", "PyYAML"):
+        try:
+            found.append(f"{name} {version(name)}")
+        except PackageNotFoundError:
+            continue
+    return "; ".join(found)
+
+
 def now(at: float | None = None) -> str:
     return dt.datetime.fromtimestamp(time.time() if at is None else at, dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
@@ -194,17 +210,18 @@ def prepared(output: str, overwrite: bool) -> None:
         shutil.rmtree(path) if os.path.isdir(path) else os.path.exists(path) and os.remove(path)
 
 
-def names_of(rows: Sequence[dict]) -> list[str]:
-    return list(rows.names) if isinstance(rows, Problems) and len(rows) else list(dict.fromkeys(k for r in rows for k in r))
+def names_of(rows: Sequence[dict], name: str | None = None) -> list[str]:
+    """Of the table of that name, or else of all rows' members."""
+    return columns_of(name) if name in COLUMNS else list(rows.names) if isinstance(rows, Problems) else list(dict.fromkeys(k for r in rows for k in r))
 
 
 def text_of(x: object) -> str:
     return "" if x is None else str(x).upper() if isinstance(x, bool) else str(x)
 
 
-def write_csv(path: str, rows: Sequence[dict]) -> None:
+def write_csv(path: str, rows: Sequence[dict], name: str | None = None) -> None:
     with open(path, "w", newline="", encoding="utf-8") as f:
-        out = csv.DictWriter(f, names_of(rows))
+        out = csv.DictWriter(f, names_of(rows, name))
         out.writeheader()
         out.writerows({k: text_of(v) for k, v in r.items()} for r in rows)
 
@@ -241,7 +258,7 @@ def write_xlsx(path: str, tables: dict[str, Sequence[dict]]) -> None:
             k += 1
             title = f"{base[: 31 - len(str(k)) - 1]}_{k}"
         taken.add(title.lower())
-        sheets.append((title, names_of(rows), rows, first))
+        sheets.append((title, names_of(rows, name), rows, first))
     main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         over = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(sheets) + 1))
@@ -293,14 +310,14 @@ def export(t: dict[str, Sequence[dict]], output: str, c: dict) -> None:
     o = c["output"]
     prepared(output, o["overwrite"])
     at = lambda *p: os.path.join(output, *p)
-    parts = {p: {name: t[name] for group, name, _ in CATALOG if p in group} for p in ("dictionary", "metadata")}
+    parts = {p: {name: t[name] for group, name, *_ in CATALOG if p in group} for p in ("dictionary", "metadata")}
     with open(at("resolved_config.yml"), "w", encoding="utf-8") as f:
         yaml.safe_dump(c, f, sort_keys=False)
     if o["write_csv"]:
         os.makedirs(at("csv"))
         for name, rows in t.items():
-            write_csv(at("csv", f"{name}.csv"), rows)
-        write_csv(at("csv", "variable_dictionary.csv"), t["data_dictionary"])
+            write_csv(at("csv", f"{name}.csv"), rows, name)
+        write_csv(at("csv", "variable_dictionary.csv"), t["data_dictionary"], "data_dictionary")
     if o["write_json"]:
         for name, extra in (("data_dictionary", {}), ("metadata", {"resolved_config": c})):
             write_json(at(f"{name}.json"), {"concept": name, **parts["dictionary" if name == "data_dictionary" else "metadata"], **extra})
@@ -310,10 +327,9 @@ def export(t: dict[str, Sequence[dict]], output: str, c: dict) -> None:
     if o["write_html"]:
         most = o["html_max_rows_per_table"]
         with open(at("metadata_report.html"), "w", encoding="utf-8") as f:
-            f.write(_page("Data dictionary and metadata", [(name.replace("_", " "), html_table(t[name], most)) for _, name, _ in CATALOG]))
+            f.write(_page("Data dictionary and metadata", [(name.replace("_", " "), html_table(t[name], most)) for _, name, *_ in CATALOG]))
         sections = [(d["dataset_label"] or d["dataset_name"], html_table(public_rows([r for r in t["data_dictionary"] if r["dataset_id"] == d["dataset_id"]]), most)) for d in t["dataset_metadata"]]
         with open(at("open_science_metadata_report.html"), "w", encoding="utf-8") as f:
             f.write(_page("Open metadata report", sections))
-    group = (("open_science_metadata_report", "public report"), ("categorical_levels", "dictionary + metadata"), ("value_labels", "dictionary + metadata"), ("documentation_gaps", "dictionary + metadata"), ("data_dictionary", "dictionary"), ("variable_dictionary", "dictionary"), ("dictionary_schema", "dictionary"), ("resolved_config", "control"), ("metadata_report", "combined report"))
     found = sorted(os.path.join(d, f) for d, _, fs in os.walk(output) for f in fs)
-    write_csv(at("artifact_manifest.csv"), [{"artifact": os.path.basename(p), "relative_path": os.path.relpath(p, output), "artifact_group": next((g for k, g in group if k in p), "metadata"), "size_bytes": os.path.getsize(p), "md5": hashlib.md5(open(p, "rb").read()).hexdigest()} for p in found])
+    write_csv(at("artifact_manifest.csv"), [{"artifact": os.path.basename(p), "relative_path": os.path.relpath(p, output), "artifact_group": group_of(os.path.relpath(p, output)), "path": os.path.abspath(p), "size_bytes": os.path.getsize(p), "md5": files.md5_of(p)} for p in found])

@@ -180,6 +180,10 @@ def issues_sql(name: str) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _numeric(own: profile.Table, at: str) -> DataFrame:
+    return shown(profile.with_quartiles(own, profile.basic_stats(own)).filter(f"variable_position IN ({at})"), NUMBERS)
+
+
 def _build() -> dict[str, tuple[Query, str]]:
     out: dict[str, tuple[Query, str]] = {}
     pick = lambda names, sql: f"SELECT {', '.join(names)} FROM ({sql}) AS q"
@@ -189,7 +193,7 @@ def _build() -> dict[str, tuple[Query, str]]:
         out[f"basic_stats_{suffix}"] = (lambda s, d, t=t: shown(profile.stats(table(s, d, t)), BASIC), pick(BASIC, stats_sql(t)))
         if any(kind in ("int", "double") for _, kind in TABLES_OF[t]):
             at = ", ".join(str(i) for i, (_, kind) in enumerate(TABLES_OF[t], 1) if kind in ("int", "double"))
-            out[f"numeric_summary_{suffix}"] = (lambda s, d, t=t, at=at: shown(profile.basic_stats(table(s, d, t)).filter(f"variable_position IN ({at})"), NUMBERS), pick(NUMBERS, stats_sql(t)) + f" WHERE variable_position IN ({at})")
+            out[f"numeric_summary_{suffix}"] = (lambda s, d, t=t, at=at: _numeric(table(s, d, t), at), pick(NUMBERS, stats_sql(t)) + f" WHERE variable_position IN ({at})")
         if any(kind == "time" for _, kind in TABLES_OF[t]):
             out[f"date_summary_{suffix}"] = (lambda s, d, t=t: profile.basic_stats(table(s, d, t)).filter("date_min IS NOT NULL").select("variable_position", "variable_name", "date_min", "date_max"), pick(("variable_position", "variable_name", "date_min", "date_max"), stats_sql(t)) + " WHERE date_min IS NOT NULL")
         cols = ", ".join(c for c, _ in TABLES_OF[t])
@@ -203,7 +207,9 @@ def _build() -> dict[str, tuple[Query, str]]:
     for key, t, cols, most in (("customer_mktsegment", "customer", ["c_mktsegment"], 50), ("orders_priority", "orders", ["o_orderstatus", "o_orderpriority"], 50), ("lineitem_flags", "lineitem", ["l_returnflag", "l_linestatus"], 50), ("events_type", "events", ["event_type"], 50), ("documents_lang", "documents", ["lang"], 50), ("capped", "customer", ["c_mktsegment"], 3), ("dirty", "dirty", ["segment", "fixed"], 50)):
         def one(s: SparkSession, d: str, t: str = t, cols: list[str] = cols, most: int = most) -> DataFrame:
             own = table(s, d, t, {"profiling": {"max_levels_reported": most}})
-            found = levels.categorical_levels(own, classify.classified(own)).filter(F.col("variable_name").isin(*cols))
+            # Only the columns that are asked for are counted.
+            at = [i for i, _, f in own.columns() if f.name in cols]
+            found = levels.categorical_levels(own, classify.classified(own, profile.frequencies(own, at)).filter(F.col("variable_position").isin(*at)))
             return shown(found.withColumn("display_value", F.coalesce("display_value", "raw_value")), LEVEL_COLUMNS)
 
         out[f"categorical_levels_{key}"] = (one, levels_sql(t, cols, most))
@@ -235,6 +241,17 @@ def _build() -> dict[str, tuple[Query, str]]:
         return profiled(df, "labels")["categorical_levels"].select("raw_value", "value_label", "display_value", "count")
 
     out["levels_with_labels"] = (labelled, "SELECT quality::VARCHAR AS raw_value, CASE quality WHEN 0 THEN 'low' ELSE 'high' END AS value_label, quality || ' — ' || CASE quality WHEN 0 THEN 'low' ELSE 'high' END AS display_value, count(*)::BIGINT AS count FROM labels GROUP BY quality")
+    # A double with labels and two zeros: 0 and -0 are one level, and labels fit whole numbers.
+    zeros = "CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN CAST(-0.0 AS DOUBLE) WHEN doc_id % 3 = 1 THEN CAST(0.0 AS DOUBLE) ELSE CAST(quality AS DOUBLE) + CAST(0.5 AS DOUBLE) * toxic END"
+
+    def doubles(s: SparkSession, d: str) -> DataFrame:
+        df = source(s, d, "labels").select(F.expr(zeros.replace("-0.0", "-0.0D").replace("(0.0", "(0.0D")).alias("x"))
+        return df.select(F.col("x").alias("x", metadata={"labels": {"0": "low", "1.0": "high"}, "labelled": True}))
+
+    own = f"(SELECT {zeros} AS x FROM labels) AS z"
+    text = "CASE WHEN x IS NULL THEN '<MISSING>' ELSE regexp_replace(printf('%.4f', abs(x)), '\\.?0+$', '') END"
+    out["levels_of_doubles"] = (lambda s, d: profiled(doubles(s, d), "labels")["categorical_levels"].select("raw_value", "value_label", "count", "is_missing"), f"SELECT {text} AS raw_value, CASE {text} WHEN '0' THEN 'low' WHEN '1' THEN 'high' END AS value_label, count(*)::BIGINT AS count, x IS NULL AS is_missing FROM {own} GROUP BY ALL")
+    out["distinct_doubles"] = (lambda s, d: profile.stats(profile.Table(doubles(s, d))).select("n_unique_non_missing", "n_non_missing", "numeric_min"), f"SELECT count(DISTINCT {text}) FILTER (x IS NOT NULL)::BIGINT AS n_unique_non_missing, count(x)::BIGINT AS n_non_missing, min(abs(x)) AS numeric_min FROM {own}")
     public = ("Variable", "Definition", "Type", "Categories / values", "Missing", "Status")
     out["public_dictionary_customer"] = (lambda s, d: dictionary.public_dictionary(profiled(source(s, d, "customer"), "customer")["data_dictionary"]).select(*[F.col(f"`{c}`").alias(c.lower().replace(" / ", "_")) for c in public]), f"SELECT variable, '-' AS definition, upper(measurement_level[1]) || measurement_level[2:] AS type, CASE WHEN categorical_eligible AND NOT potential_identifier AND NOT potential_sensitive THEN value_label ELSE '-' END AS categories_values, n_missing || ' (' || printf('%.1f', percent_missing) || '%)' AS missing, 'Definition needed' || CASE WHEN potential_identifier OR potential_sensitive THEN '; Disclosure review' ELSE '' END AS status FROM ({dictionary_sql('customer')}) AS q")
     quoted = lambda x: x.replace("'", "''")

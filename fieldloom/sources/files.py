@@ -14,10 +14,10 @@ import json
 import lzma
 import os
 import re
+import shutil
 import struct
 import zipfile
 from dataclasses import dataclass, field
-from pathlib import Path
 from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import CODEC, COMPRESSIBLE, EXTENSIONS, byte_text  # noqa: F401
+from ..functions.shared import fresh_path, upload
 
 #: Family, format, extensions, availability.
 FORMATS = (
@@ -35,6 +36,25 @@ FORMATS = (
 )
 
 
+#: What the formats are called.
+DESCRIPTIONS = {
+    "csv": "Delimited text (CSV)", "tsv": "Delimited text (TSV/TAB)", "txt": "Delimited text (configured delimiter)", "xls": "Microsoft Excel 97-2003", "xlsx": "Microsoft Excel", "dta": "Stata", "sas7bdat": "SAS data set", "sas7bcat": "SAS catalog (auxiliary)",
+    "xpt": "SAS transport", "sav": "SPSS system file", "zsav": "Compressed SPSS system file", "por": "SPSS portable file", "rds": "R serialized object", "rdata": "R workspace", "json": "JSON", "jsonl": "Newline-delimited JSON", "parquet": "Apache Parquet",
+    "feather": "Apache Arrow/Feather", "arrow": "Apache Arrow IPC file", "ipc": "Apache Arrow IPC file or stream", "pickle": "Python pickle (explicit opt-in required)",
+}
+#: Package and function that read a format here, and what is to be known about it.
+READER_OF = {
+    **dict.fromkeys(("csv", "tsv", "txt"), ("pyspark", "read_delimited")), "xlsx": ("fieldloom", "read_excel"), "dta": ("pandas", "read_stata"), "sas7bdat": ("pandas", "read_sas"), "xpt": ("pandas", "read_sas"), "sav": ("fieldloom", "read_spss"), "zsav": ("fieldloom", "read_spss"),
+    "rds": ("fieldloom", "read_r"), "rdata": ("fieldloom", "read_r"), "json": ("pyspark", "read_json"), "jsonl": ("pyspark", "read_json"), "parquet": ("pyspark", "read_parquet"), **dict.fromkeys(("feather", "arrow", "ipc"), ("pyarrow", "read_arrow")), "pickle": ("pandas", "read_pickle"),
+}
+NOTES = {
+    "csv": "May be packed as .gz, .bz2 or .xz.", "tsv": "May be packed as .gz, .bz2 or .xz.", "txt": "The delimiter is configured; may be packed as .gz, .bz2 or .xz.", "xls": "No reader is installed.", "xlsx": "Each chosen sheet is a dataset.", "dta": "Labels, formats and tags of missing values are kept.",
+    "sas7bdat": "A catalog beside it is found, but its labels are not read.", "sas7bcat": "Never a dataset of its own.", "xpt": "Versions 5 and 8.", "sav": "Labels, formats and declared missing values are kept.", "zsav": "Labels, formats and declared missing values are kept.", "por": "No reader is installed.",
+    "rds": "A table, or a list of tables.", "rdata": "Chosen objects that are tables; others are left out.", "json": "Objects are flattened; an object of record arrays is many tables.", "jsonl": "One record a line.", "parquet": "Read in parts, by column.", "feather": "Version 2.", "arrow": "File, then stream.", "ipc": "File, then stream.",
+    "pickle": "Reading one can run code: for trusted files only.",
+}
+
+
 @dataclass
 class Dataset:
     df: DataFrame
@@ -78,19 +98,38 @@ def discover(inputs: list[str], recursive: bool = False, include_hidden: bool =
     return sorted(found)
 
 
+def md5_of(path: str) -> str:
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "md5").hexdigest()
+
+
 def file_metadata(path: str, md5: bool = False) -> dict:
     s = os.stat(path)
-    utc = lambda x: dt.datetime.fromtimestamp(x, dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
-    packed = re.search(CODEC, path.lower())
-    size, unit = float(s.st_size), "B"
+    utc = lambda x: None if x is None else dt.datetime.fromtimestamp(x, dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    packed, kind = re.search(CODEC, path.lower()), detect_format(path) or ("sas7bcat" if is_auxiliary(path) else None)
+    return {
+        "source_file": path, "source_basename": os.path.basename(path), "source_extension": os.path.splitext(re.sub(CODEC, "", path, flags=re.IGNORECASE))[1] + (packed[0] if packed else ""), "source_format": kind, "source_format_description": DESCRIPTIONS.get(kind), "compression": packed[1] if packed else None, "file_size_bytes": float(s.st_size), "file_size_human": human(float(s.st_size)),
+        "file_created_utc": utc(getattr(s, "st_birthtime", None)), "file_modified_utc": utc(s.st_mtime), "file_accessed_utc": utc(s.st_atime), "file_status_changed_utc": utc(s.st_ctime), "file_owner": _named("pwd", "getpwuid", "pw_name", s.st_uid), "file_group": _named("grp", "getgrgid", "gr_name", s.st_gid), "file_permissions": oct(s.st_mode & 0o777)[2:], "file_md5": md5_of(path) if md5 and os.path.isfile(path) else None,
+    }
+
+
+def human(size: float) -> str:
+    """Powers of 1024 with two decimals."""
     for unit in ("B", "KB", "MB", "GB", "TB"):
         if size < 1024 or unit == "TB":
-            break
+            return f"{size:.2f} {unit}"
         size /= 1024
-    return {
-        "source_file": path, "source_basename": os.path.basename(path), "source_extension": os.path.splitext(re.sub(CODEC, "", path))[1] + (packed[0] if packed else ""), "source_format": detect_format(path), "compression": packed[1] if packed else None, "file_size_bytes": float(s.st_size), "file_size_human": f"{size:.2f} {unit}",
-        "file_modified_utc": utc(s.st_mtime), "file_accessed_utc": utc(s.st_atime), "file_status_changed_utc": utc(s.st_ctime), "file_owner": str(s.st_uid), "file_group": str(s.st_gid), "file_permissions": oct(s.st_mode & 0o777)[2:], "file_md5": hashlib.md5(Path(path).read_bytes()).hexdigest() if md5 and os.path.isfile(path) else None,
-    }
+    return ""
+
+
+def _named(module: str, function: str, attribute: str, number: int) -> str:
+    """Name of an owner or group, or its number where the system has no name for it."""
+    import importlib
+
+    try:
+        return getattr(getattr(importlib.import_module(module), function)(number), attribute)
+    except (ImportError, KeyError):
+        return str(number)
 
 
 def flattened(df: DataFrame) -> DataFrame:
@@ -104,35 +143,72 @@ def flattened(df: DataFrame) -> DataFrame:
     return df
 
 
-def _unpacked(path: str) -> str:
-    """Hadoop has no xz codec: such files are unpacked beside the checkpoint folder."""
+def _unpacked(spark: SparkSession, path: str) -> str:
+    """Hadoop has no xz codec: such files are unpacked into the shared folder, where executors see them."""
     if not path.lower().endswith(".xz"):
         return path
     import tempfile
 
-    out = os.path.join(tempfile.mkdtemp(prefix="fieldloom-xz-"), os.path.basename(path)[:-3])
-    with lzma.open(path) as f, open(out, "wb") as g:
-        while block := f.read(1 << 20):
-            g.write(block)
+    name = os.path.basename(path)[:-3]
+    with tempfile.TemporaryDirectory() as folder:
+        local = os.path.join(folder, name)
+        with lzma.open(path) as f, open(local, "wb") as g:
+            shutil.copyfileobj(f, g, 1 << 20)
+        out = fresh_path(spark, name)
+        upload(spark, local, out)
     return out
 
 
+#: Names of a delimited file's columns while it is read, and of what a line holds that doesn't fit.
+_BAD = "bad"
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows of one file with their number in it, from 0: parts of a file are read in its order, and their counts are few."""
+    placed = rows.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    first, starts = 0, []
+    # A row for each part of the file.
+    for r in placed.groupBy("part").agg(F.sum(F.length("cells") * 0 + 1).alias("n")).orderBy("part").collect():
+        starts.append((r.part, first))
+        first += r.n
+    known = rows.sparkSession.createDataFrame(starts, "part int, first long")
+    return placed.join(F.broadcast(known), "part").withColumn("number", F.col("first") + F.col("place"))
+
+
 def read_delimited(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
-    """Types are inferred; cells "" and NA are null; lines that don't fit their types become problems."""
+    """Types are inferred from all lines; cells "" and NA are null. Names are those of the header as they stand, blank and repeated ones too.
+
+    A record whose number of fields isn't the header's is filled with nulls or cut, and becomes a problem: its number
+    (the header's is 1), the number of its fields, what was expected, and the record itself. Files are read in parts,
+    unless a record goes on over a line's end: then (an odd number of quotes in some line) the file is one part.
+    A file without a byte is a table without columns.
+    """
     sep = {"csv": ",", "tsv": "\t"}.get(kind, config["input"]["text_delimiter"])
-    opts = {"header": True, "sep": sep, "encoding": config["input"]["text_encoding"], "nullValue": "NA", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "multiLine": False, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    where = _unpacked(path)
-    schema = spark.read.options(**opts, inferSchema=True).csv(where).schema
-    bad = "_corrupt_line"
-    df = spark.read.options(**opts, columnNameOfCorruptRecord=bad).schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())])).csv(where)
-    text = [F.nullif(F.col(f"`{f.name}`"), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in schema.fields]
-    problems = df.filter(F.col(bad).isNotNull()).select(F.lit(path).alias("source_file"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("long").alias("col"), F.lit(f"{len(schema)} columns").alias("expected"), F.coalesce(F.col(bad), *[F.col(f"`{f.name}`").cast("string") for f in schema.fields]).alias("actual")) if schema.fields else None  # where only some columns are read, Spark prunes the others and finds no line of a wrong length
-    return [Dataset(df.select(*text), stem(path), path, kind, problems=problems)]
+    where = _unpacked(spark, path)
+    over = not spark.read.text(where).filter(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).isEmpty()
+    # Without column pruning, as otherwise records of a wrong length pass where only some columns are read.
+    opts = {"sep": sep, "encoding": config["input"]["text_encoding"], "nullValue": "NA", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "multiLine": over, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False, "maxCharsPerColumn": -1}
+    head = spark.read.options(**opts, header=False).csv(where).head()
+    if head is None:
+        return [Dataset(spark.createDataFrame([], T.StructType([])), stem(path), path, kind)]
+    names = [n or "" for n in head]
+    found = spark.read.options(**opts, header=True, inferSchema=True).csv(where).schema
+    fields = [T.StructField(f"c{i}", found.fields[i].dataType if i < len(found) else T.StringType()) for i in range(len(names))]
+    df = spark.read.options(**opts, header=True, columnNameOfCorruptRecord=_BAD).schema(T.StructType([*fields, T.StructField(_BAD, T.StringType())])).csv(where)
+    cells = [F.nullif(F.col(f.name), F.lit("")) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in fields]
+    # Reading the corrupt lines alone is refused: the other columns go along, and counts depend on them.
+    texts = [F.col(f.name).cast("string") for f in fields]
+    raw = df.select(F.coalesce(F.col(_BAD), *texts).alias("actual"), F.concat_ws("", *texts).alias("cells"), (F.col(_BAD).isNotNull() & (F.length(F.concat_ws("", *texts)) >= 0)).alias("wrong"))
+    problems = None
+    if raw.filter("wrong").agg(F.count("actual")).first()[0]:
+        separators = F.regexp_count(F.regexp_replace("actual", '"[^"]*"', ""), F.lit(re.escape(sep)))
+        problems = _numbered(raw).filter("wrong").select(F.lit(path).alias("source_file"), (F.col("number") + 2).alias("row"), (separators + 1).cast("long").alias("col"), F.lit(f"{len(names)} columns").alias("expected"), "actual", F.lit(path).alias("problem_file"))
+    return [Dataset(df.select(*cells).toDF(*names), stem(path), path, kind, problems=problems)]
 
 
 def read_json(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
     """Records become one table; an object whose members are record arrays becomes one table each."""
-    where = _unpacked(path)
+    where = _unpacked(spark, path)
     if kind == "json":
         df = spark.read.option("multiLine", True).json(where)
         tables = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)]
@@ -225,9 +301,12 @@ def read_excel(spark: SparkSession, path: str, kind: str, config: dict) -> list[
     return out
 
 
-def _with_labels(spark: SparkSession, frame, labels: dict, values: dict, formats: dict | None = None) -> DataFrame:
-    df = spark.createDataFrame(frame) if len(frame) else spark.createDataFrame([], ", ".join(f"`{c}` string" for c in frame.columns))
-    meta = lambda c: {k: v for k, v in (("label", labels.get(c)), ("labels", values.get(c)), ("labelled", c in values or None), ("format", (formats or {}).get(c))) if v}
+def _with_labels(spark: SparkSession, frame, labels: dict, values: dict, formats: dict | None = None, more: dict[str, dict] | None = None) -> DataFrame:
+    """A pandas table, with what its file says of the columns as their fields' metadata."""
+    df = spark.createDataFrame(frame) if len(frame) and len(frame.columns) else spark.createDataFrame([], ", ".join(f"`{c}` string" for c in frame.columns) or T.StructType([]))
+    if any(isinstance(f.dataType, (T.DoubleType, T.FloatType)) for f in df.schema.fields):
+        df = df.select(*[F.nanvl(F.col(f"`{f.name}`"), F.lit(None)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in df.schema.fields])
+    meta = lambda c: {k: v for k, v in (("label", labels.get(c)), ("labels", values.get(c)), ("labelled", c in values or None), ("format", (formats or {}).get(c))) if v} | (more or {}).get(c, {})
     return df.select(*[F.col(f"`{c}`").alias(c, metadata=meta(c)) if meta(c) else F.col(f"`{c}`") for c in df.columns])
 
 
@@ -241,24 +320,49 @@ def _opened(path: str) -> io.BytesIO:
 
 
 def read_stata(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
-    """Labels and formats are kept as metadata; files of versions 114 and 115 with a damaged tail go to the fixed-width recovery."""
+    """Labels, formats and counts of tagged missing values (.a to .z) are kept as metadata; files of versions 114 and 115 whose tail is damaged, or that have bytes behind it, go to the fixed-width recovery."""
     import pandas as pd
 
-    data = _opened(path)
+    data, n_max = _opened(path), config["input"]["n_max"]
+    reason = trailing_payload(data.getvalue())
     try:
-        with pd.io.stata.StataReader(data, convert_categoricals=False) as r:
-            frame, labels, sets, names = r.read(nrows=config["input"]["n_max"]), r.variable_labels(), r.value_labels(), dict(zip(r._varlist, r._lbllist, strict=False))
-    except Exception:
-        frame, labels = recovered_stata(data.getvalue(), config["input"]["n_max"])
-        return [Dataset(_with_labels(spark, frame, labels, {}), stem(path), path, kind, notes="read by the fixed-width recovery")]
+        if reason:
+            raise ValueError(reason)
+        with pd.io.stata.StataReader(data, convert_categoricals=False, convert_missing=True) as r:
+            frame, labels, sets, names, formats = r.read(nrows=n_max), r.variable_labels(), r.value_labels(), dict(zip(r._varlist, r._lbllist, strict=False)), dict(zip(r._varlist, r._fmtlist, strict=False))
+    except Exception as e:
+        frame, labels = recovered_stata(data.getvalue(), n_max)
+        return [Dataset(_with_labels(spark, frame, labels, {}), stem(path), path, kind, notes=f"read by the fixed-width recovery: {str(e)[:200]}")]
+    tags: dict[str, dict[str, int]] = {}
+    gone = pd.io.stata.StataMissingValue
+    for i, c in enumerate(frame.columns):
+        marks = [v.string[1:] for v in frame.iloc[:, i] if isinstance(v, gone)] if frame.dtypes.iloc[i] == object else []
+        if marks:
+            tags[c] = {t: marks.count(t) for t in sorted(set(marks)) if t}
+            frame[c] = pd.to_numeric(pd.Series([None if isinstance(v, gone) else v for v in frame[c]], index=frame.index, dtype=object)).astype("float64")
     values = {c: {str(k): v for k, v in sets[n].items()} for c, n in names.items() if n in sets}
-    return [Dataset(_with_labels(spark, frame, labels, values), stem(path), path, kind)]
+    return [Dataset(_with_labels(spark, frame, labels, values, formats, {c: {"tags": t} for c, t in tags.items() if t}), stem(path), path, kind)]
 
 
-def recovered_stata(data: bytes, n_max: int | None = None):
-    """The data block of a version 114 or 115 file by its header alone. Missing cutoffs are fixed values of the format."""
+def trailing_payload(data: bytes) -> str | None:
+    """Whether a Stata file of version 114 or 115 has bytes behind its data that begin like an empty table of labels: readers of such files go wrong."""
+    if len(data) < 10 or data[0] not in (114, 115):
+        return None
+    try:
+        end = _stata_layout(data)[-1]
+    except (struct.error, ValueError, IndexError):
+        return "the header can't be read"
+    rest = data[end:]
+    return "bytes behind an empty table of value labels" if len(rest) > 4 and rest[:4] == b"\0\0\0\0" else None
+
+
+#: Fixed values of the format: numpy types, and the largest numbers that aren't missing.
+_STATA = {251: ("i1", 100), 252: ("i2", 32740), 253: ("i4", 2147483620), 254: ("f4", 1.701e38), 255: ("f8", 8.988e307)}
+
+
+def _stata_layout(data: bytes):
+    """Names, kinds, labels, the row's numpy type, rows, where the data begin and end, by the header of a version 114 or 115 file alone."""
     import numpy as np
-    import pandas as pd
 
     release, order = data[0], "<" if data[1] == 2 else ">"
     if release not in (114, 115):
@@ -277,13 +381,21 @@ def recovered_stata(data: bytes, n_max: int | None = None):
         at += 5 + size
         if kind == 0:
             break
-    cutoff = {251: ("i1", 100), 252: ("i2", 32740), 253: ("i4", 2147483620), 254: ("f4", 1.701e38), 255: ("f8", 8.988e307)}
-    dtype = np.dtype([(f"f{i}", f"S{k}" if k <= 244 else order + cutoff[k][0]) for i, k in enumerate(kinds)])
-    rows = np.frombuffer(data, dtype, nobs if n_max is None else min(nobs, int(n_max)), at)
-    out = {}
+    dtype = np.dtype([(f"f{i}", f"S{k}" if k <= 244 else order + _STATA[k][0]) for i, k in enumerate(kinds)])
+    return names, kinds, labels, dtype, nobs, at, at + nobs * dtype.itemsize
+
+
+def recovered_stata(data: bytes, n_max: int | None = None):
+    """The data block of a version 114 or 115 file."""
+    import numpy as np
+    import pandas as pd
+
+    names, kinds, labels, dtype, nobs, at, _ = _stata_layout(data)
+    text = lambda b: b.split(b"\0")[0].decode("latin-1")
+    rows, out = np.frombuffer(data, dtype, nobs if n_max is None else min(nobs, int(n_max)), at), {}
     for i, (n, k) in enumerate(zip(names, kinds, strict=True)):
         x = rows[f"f{i}"]
-        out[n] = [text(v) for v in x.tolist()] if k <= 244 else pd.array([None if v > cutoff[k][1] or k >= 254 and not np.isfinite(v) else v for v in x.tolist()], dtype="Int64" if k <= 253 else "Float64")
+        out[n] = [text(v) for v in x.tolist()] if k <= 244 else pd.array([None if v > _STATA[k][1] or k >= 254 and not np.isfinite(v) else v for v in x.tolist()], dtype="Int64" if k <= 253 else "Float64")
     frame = pd.DataFrame(out)
     return frame.astype({n: "float64" for n, k in zip(names, kinds, strict=True) if k >= 251 and frame[n].isna().any()}), labels
 
