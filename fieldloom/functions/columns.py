@@ -16,50 +16,72 @@ INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
-def trimmed(c: Column) -> Column:
-    return F.trim(c, F.lit(WHITE))
+def quoted(text: str) -> str:
+    """As a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def missing(c: Column, kind: T.DataType) -> Column:
+# SQL texts about the column or expression c: tables have many columns, and a text is handed to the engine at once.
+
+
+def trimmed(c: str) -> str:
+    return f"trim(BOTH ' \\t\\r\\n' FROM {c})"
+
+
+def missing(c: str, kind: T.DataType) -> str:
     """Null or NaN; lists also if empty or all of their elements are missing."""
     if isinstance(kind, FLOATS):
-        return c.isNull() | F.isnan(c)
+        return f"({c} IS NULL OR isnan({c}))"
     if isinstance(kind, T.ArrayType):
-        inner = (lambda e: e.isNull() | F.isnan(e)) if isinstance(kind.elementType, FLOATS) else (lambda e: e.isNull())
-        return c.isNull() | (F.size(c) == 0) | F.forall(c, inner)
-    return c.isNull()
+        inner = "e IS NULL OR isnan(e)" if isinstance(kind.elementType, FLOATS) else "e IS NULL"
+        return f"({c} IS NULL OR size({c}) = 0 OR forall({c}, e -> {inner}))"
+    return f"({c} IS NULL)"
 
 
-def blank(c: Column, kind: T.DataType) -> Column:
-    return c.isNotNull() & (trimmed(c) == "") if isinstance(kind, T.StringType) else F.lit(False)
+def blank(c: str, kind: T.DataType) -> str:
+    return f"({c} IS NOT NULL AND {trimmed(c)} = '')" if isinstance(kind, T.StringType) else "FALSE"
 
 
-#: Powers of ten that are doubles exactly.
-_TENS = tuple(float(10**k) for k in range(23))
+def digits15(x: str) -> str:
+    """The double nearest to x at 15 significant digits, and one zero: numbers that read alike are equal afterwards. Arithmetic where powers of ten are exact, text beyond."""
+    tens = f"array({', '.join(f'1e{k}D' for k in range(23))})"
+    scale = f"element_at({tens}, cast(greatest(1, least(23, 15 - floor(log10(abs({x}))))) AS int))"
+    return f"CASE WHEN {x} = 0 THEN 0D WHEN abs({x}) >= 1e-6D AND abs({x}) < 1e14D THEN rint({x} * {scale}) / {scale} WHEN {x} IS NOT NULL THEN cast(format_string('%.14e', {x}) AS double) END"
 
 
-def digits15(x: Column) -> Column:
-    """The double nearest to x at 15 significant digits, and one zero: numbers that read alike are equal afterwards. Arithmetic where powers of ten are exact, text beyond."""
-    size = F.abs(x)
-    digit = F.lit(15) - F.floor(F.log10(size))
-    scale = F.element_at(F.array(*[F.lit(t) for t in _TENS]), F.greatest(F.lit(1), F.least(F.lit(23), digit)).cast("int"))
-    return F.when(x == 0, F.lit(0.0)).when((size >= 1e-6) & (size < 1e14), F.rint(x * scale) / scale).when(x.isNotNull(), F.format_string("%.14e", x).cast("double"))
+def number_sql(x: str) -> str:
+    """Plain decimal notation at 15 significant digits (up to 1e20 and 18 decimals)."""
+    exact = f"cast(try_cast(try_cast(format_string('%.14e', {x}) AS double) AS decimal(38, 18)) AS string)"
+    return f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} % 1D = 0 AND abs({x}) < 1e15D THEN cast(try_cast({x} AS bigint) AS string) ELSE coalesce(regexp_replace({exact}, r'\\.?0+$', ''), cast({x} AS string)) END"
 
 
-def canonical(c: Column, kind: T.DataType) -> Column:
-    """The text by which values are told apart: numbers plain at 15 significant digits (1 for 1.0, one zero), UTC seconds, ISO dates, JSON."""
+def number_text(name: str) -> Column:
+    return F.expr(number_sql(name))
+
+
+def canonical(c: str, kind: T.DataType) -> str:
+    """The text by which values are told apart: numbers plain at 15 significant digits (1 for 1.0, one zero), UTC seconds, ISO dates, JSON. Doubles must have passed digits15()."""
     if isinstance(kind, FLOATS):
-        x = digits15(c.cast("double"))
-        return F.when((x == 0) | (F.abs(x) >= 1e-6) & (F.abs(x) < 1e15), number_text(x)).otherwise(x.cast("string"))
+        return f"CASE WHEN {c} = 0 OR (abs({c}) >= 1e-6D AND abs({c}) < 1e15D) THEN {number_sql(c)} ELSE cast({c} AS string) END"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        return f"date_format({c}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
     if isinstance(kind, T.BooleanType):
-        return F.upper(c.cast("string"))
+        return f"upper(cast({c} AS string))"
     if isinstance(kind, (*NESTED, T.VariantType)):
-        return F.to_json(c, {"ignoreNullFields": "false"})
+        return f"to_json({c}, map('ignoreNullFields', 'false'))"
     if isinstance(kind, T.BinaryType):
-        return F.base64(c)
-    return c.cast("string")
+        return f"base64({c})"
+    return f"cast({c} AS string)"
+
+
+def comparable(c: str, kind: T.DataType) -> str:
+    """The column, or its JSON where values can't be grouped or hashed as they are (maps and variants, at any depth)."""
+    return f"to_json({c}, map('ignoreNullFields', 'false'))" if _holds(kind, (T.MapType, T.VariantType)) else c
+
+
+def _holds(kind: T.DataType, what: tuple) -> bool:
+    inner = [kind.elementType] if isinstance(kind, T.ArrayType) else [f.dataType for f in kind.fields] if isinstance(kind, T.StructType) else []
+    return isinstance(kind, what) or any(_holds(k, what) for k in inner)
 
 
 def code_text(code: object) -> str:
@@ -75,23 +97,6 @@ def code_text(code: object) -> str:
     return plain.rstrip("0").rstrip(".") if "." in plain else plain
 
 
-def comparable(c: Column, kind: T.DataType) -> Column:
-    """The column, or its JSON where values can't be grouped or hashed as they are (maps and variants, at any depth)."""
-    return F.to_json(c, {"ignoreNullFields": "false"}) if _holds(kind, (T.MapType, T.VariantType)) else c
-
-
-def _holds(kind: T.DataType, what: tuple) -> bool:
-    inner = [kind.elementType] if isinstance(kind, T.ArrayType) else [f.dataType for f in kind.fields] if isinstance(kind, T.StructType) else []
-    return isinstance(kind, what) or any(_holds(k, what) for k in inner)
-
-
-def number_text(x: Column) -> Column:
-    """Plain decimal notation at 15 significant digits (up to 1e20 and 18 decimals)."""
-    whole = (x % F.lit(1.0) == 0) & (F.abs(x) < 1e15)
-    exact = F.format_string("%.14e", x).try_cast("double").try_cast("decimal(38,18)").cast("string")
-    return F.when(x.isNull(), None).when(whole, x.try_cast("bigint").cast("string")).otherwise(F.coalesce(F.regexp_replace(exact, r"\.?0+$", ""), x.cast("string")))
-
-
 def normalized_name(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "_"), "^_+|_+$", "")
 

@@ -59,8 +59,8 @@ def data_dictionary(table: Table, variables: DataFrame, dataset_id: str, freq: D
     technical = F.concat(F.coalesce(F.element_at(words, s), F.concat(F.lit("Field classified as "), s)), F.lit(". "), "classification_reason")
     rules = F.concat_ws(
         " ", F.when(F.col("n_missing") > 0, "Missing values were observed.").otherwise("No missing values were observed."), F.when(F.col("categorical_eligible"), "Observed or defined categories are documented in the value/level tables."),
-        F.when(s.isin(*TEXTUAL), f"Treat as text rather than a categorical field under the configured {p['max_categorical_levels']}-level rule."), F.concat(F.lit("Observed numeric range: "), number_text(F.col("numeric_min")), F.lit(" to "), number_text(F.col("numeric_max")), F.lit(".")),
-        F.concat(F.lit("Observed date/time range: "), "date_min", F.lit(" to "), "date_max", F.lit(".")), F.concat(F.lit("Maximum observed text length: "), number_text(F.col("string_max_length")), F.lit(" character(s).")),
+        F.when(s.isin(*TEXTUAL), f"Treat as text rather than a categorical field under the configured {p['max_categorical_levels']}-level rule."), F.concat(F.lit("Observed numeric range: "), number_text("numeric_min"), F.lit(" to "), number_text("numeric_max"), F.lit(".")),
+        F.concat(F.lit("Observed date/time range: "), "date_min", F.lit(" to "), "date_max", F.lit(".")), F.concat(F.lit("Maximum observed text length: "), number_text("string_max_length"), F.lit(" character(s).")),
     )
     review = F.concat_ws("; ", F.when(definition.isNull(), "business definition is missing"), F.when(s.isin(*TEXTUAL), "non-categorical character classification should be reviewed"), F.when(F.col("potential_identifier"), "potential identifier"), F.when(F.col("potential_sensitive"), "potentially sensitive field"))
     out = v.withColumns({

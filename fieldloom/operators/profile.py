@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import FLOATS, INTEGERS, blank, canonical, comparable, digits15, missing, trimmed
+from ..functions.columns import FLOATS, INTEGERS, blank, canonical, comparable, digits15, missing, quoted, trimmed
 
 NUMERIC = (*FLOATS, *INTEGERS, T.DecimalType)
 TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -34,35 +34,35 @@ class Table:
         self.fields = df.schema.fields
         self.df = df.toDF(*[f"c{i}" for i in range(len(self.fields))])
 
-    def columns(self) -> list[tuple[int, Column, T.StructField]]:
-        return [(i + 1, F.col(f"c{i}"), f) for i, f in enumerate(self.fields)]
+    def columns(self) -> list[tuple[int, str, T.StructField]]:
+        """Position, name in SQL, field."""
+        return [(i + 1, f"c{i}", f) for i, f in enumerate(self.fields)]
 
     def display(self, i: int) -> str:
         return self.fields[i - 1].name or f"<unnamed_{i}>"
 
-    def absent(self, c: Column, f: T.StructField) -> Column:
+    def absent(self, c: str, f: T.StructField) -> str:
         """Null, NaN, or one of the values that the source declares missing (na_values, na_range of the field's metadata)."""
-        out, m = missing(c, f.dataType), f.metadata or {}
-        for v in m.get("na_values") or []:
-            out |= F.coalesce(c == F.lit(v), F.lit(False))
+        m, literal = f.metadata or {}, lambda v: quoted(v) if isinstance(v, str) else repr(v)
+        out = [missing(c, f.dataType), *[f"coalesce({c} = {literal(v)}, FALSE)" for v in m.get("na_values") or []]]
         if m.get("na_range"):
-            low, high = m["na_range"]
-            out |= F.coalesce((c >= F.lit(low)) & (c <= F.lit(high)), F.lit(False))
-        return out
+            out.append(f"coalesce({c} BETWEEN {literal(m['na_range'][0])} AND {literal(m['na_range'][1])}, FALSE)")
+        return f"({' OR '.join(out)})" if len(out) > 1 else out[0]
 
-    def gone(self, c: Column, f: T.StructField) -> Column:
+    def gone(self, c: str, f: T.StructField) -> str:
         """Effectively missing."""
-        return self.absent(c, f) | blank(c, f.dataType) if self.config["profiling"]["blank_as_missing"] else self.absent(c, f)
+        listed = isinstance(f.dataType, T.StringType) and self.config["profiling"]["blank_as_missing"]
+        return f"({self.absent(c, f)} OR {blank(c, f.dataType)})" if listed else self.absent(c, f)
 
-    def known(self, c: Column, f: T.StructField) -> Column:
+    def known(self, c: str, f: T.StructField) -> str:
         """The column without values that are declared missing."""
-        return F.when(~self.absent(c, f), c) if {"na_values", "na_range"} & set(f.metadata or {}) else c
+        return f"CASE WHEN NOT {self.absent(c, f)} THEN {c} END" if {"na_values", "na_range"} & set(f.metadata or {}) else c
 
 
-def finite(c: Column, kind: T.DataType) -> Column:
+def finite(c: str, kind: T.DataType) -> str:
     """As a double; null unless finite."""
-    x = c.cast("double")
-    return F.when(c.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")), x) if isinstance(kind, FLOATS) else x
+    x = f"cast({c} AS double)"
+    return f"CASE WHEN NOT isnan({x}) AND abs({x}) != double('Infinity') THEN {x} END" if isinstance(kind, FLOATS) else x
 
 
 def ordered_code(x: Column) -> Column:
@@ -81,8 +81,8 @@ def quartiles(table: Table, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> Da
     cells = {i: finite(table.known(c, f), f.dataType) for i, c, f in table.columns() if isinstance(f.dataType, NUMERIC)}
     if not cells:
         return table.df.sparkSession.createDataFrame([], "variable_position int" + "".join(f", q{k} double" for k in range(len(shares))))
-    place = F.element_at(F.array(*[F.lit(i) for i in cells]), F.col("pos") + 1)
-    values = table.df.select(F.posexplode(F.array(*cells.values())).alias("pos", "x")).filter("x is not null").select(place.alias("variable_position"), "x", ordered_code(F.col("x")).alias("code"))
+    place = F.expr(f"element_at(array({', '.join(map(str, cells))}), pos + 1)")
+    values = table.df.select(F.posexplode(F.expr(f"array({', '.join(cells.values())})")).alias("pos", "x")).filter("x is not null").select(place.alias("variable_position"), "x", ordered_code(F.col("x")).alias("code"))
     at = lambda share: (F.col("total") - 1) * F.lit(share)
     here = lambda rank: (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
     key, found = ["variable_position"], None
@@ -114,34 +114,27 @@ def basic_stats(table: Table) -> DataFrame:
     """A row for each column: counts, numeric and date summaries, text lengths. One pass, one row shuffled per task; quartiles are null, with_quartiles() has them."""
     if not table.fields:
         return table.df.sparkSession.createDataFrame([], BASIC_SCHEMA)
-    aggs, rows = [F.count(F.lit(1)).alias("rows")], []
+    aggs, rows = ["count(1) AS rows"], []
     for i, c, f in table.columns():
         gone, kind = table.gone(c, f), f.dataType
-        text, numeric, time = isinstance(kind, T.StringType), isinstance(kind, NUMERIC), isinstance(kind, TIMES)
-        own: dict[str, Column | None] = {
-            "n_system_missing": F.count_if(table.absent(c, f)), "n_missing": F.count_if(gone), "n_blank_strings": F.count_if(blank(c, kind)) if text else None,
-            "string_min_length": F.min(F.when(~gone, F.length(c))).cast("double") if text else None, "string_mean_length": F.avg(F.when(~gone, F.length(c))) if text else None, "string_max_length": F.max(F.when(~gone, F.length(c))).cast("double") if text else None,
-            "n_leading_trailing_whitespace": F.count_if(c != trimmed(c)) if text else None,
-        }
-        if numeric:
-            x = c.cast("double")
-            known = finite(table.known(c, f), kind)
-            own |= {"numeric_min": F.min(known) + 0.0, "numeric_mean": F.avg(known), "numeric_max": F.max(known) + 0.0, "numeric_sd": F.stddev_samp(known), "n_infinite": F.count_if(F.abs(x) == float("inf")) if isinstance(kind, FLOATS) else None}
-        if time:
+        own = {"n_system_missing": f"count_if({table.absent(c, f)})", "n_missing": f"count_if({gone})"}
+        if isinstance(kind, T.StringType):
+            length = f"CASE WHEN NOT {gone} THEN length({c}) END"
+            own |= {"n_blank_strings": f"count_if({blank(c, kind)})", "string_min_length": f"min({length})", "string_mean_length": f"avg({length})", "string_max_length": f"max({length})", "n_leading_trailing_whitespace": f"count_if({c} != {trimmed(c)})"}
+        if isinstance(kind, NUMERIC):
+            x = finite(table.known(c, f), kind)
+            own |= {"numeric_min": f"min({x}) + 0D", "numeric_mean": f"avg({x})", "numeric_max": f"max({x}) + 0D", "numeric_sd": f"stddev_samp({x})"}
+            if isinstance(kind, FLOATS):
+                own["n_infinite"] = f"count_if(abs({c}) = double('Infinity'))"
+        if isinstance(kind, TIMES):
             shape = "yyyy-MM-dd" if isinstance(kind, T.DateType) else "yyyy-MM-dd'T'HH:mm:ss'Z'"
-            own |= {"date_min": F.date_format(F.min(c), shape), "date_max": F.date_format(F.max(c), shape)}
-        aggs += [v.alias(f"{k}_{i}") for k, v in own.items() if v is not None]
-        has = lambda k: own.get(k) is not None
-        take = lambda k, kind, i=i, has=has: (F.col(f"{k}_{i}") if has(k) else F.lit(None)).cast(kind).alias(k)
-        zero = lambda k, i=i, has=has: (F.col(f"{k}_{i}") if has(k) else F.lit(0)).cast("long").alias(k)
-        rows.append(F.struct(
-            F.lit(i).cast("long").alias("variable_position"), F.lit(table.display(i)).alias("variable_name"), F.lit(f.name).alias("source_variable_name"), F.lit(f.dataType.simpleString().split("<")[0]).alias("storage_type"), F.col("rows").alias("n_rows"),
-            zero("n_system_missing"), zero("n_missing"), zero("n_blank_strings"), (F.col("rows") - F.col(f"n_missing_{i}")).alias("n_non_missing"),
-            *[take(k, "double") for k in ("string_min_length", "string_mean_length", "string_max_length")], zero("n_leading_trailing_whitespace"),
-            take("numeric_min", "double"), *[F.lit(None).cast("double").alias(q) for q in ("numeric_q1", "numeric_median")], take("numeric_mean", "double"), F.lit(None).cast("double").alias("numeric_q3"), take("numeric_max", "double"), take("numeric_sd", "double"), zero("n_infinite"),
-            take("date_min", "string"), take("date_max", "string"), F.lit("UTC" if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else None).cast("string").alias("timezone"),
-        ))
-    return table.df.agg(*aggs).select(F.inline(F.array(*rows)))
+            own |= {"date_min": f'date_format(min({c}), "{shape}")', "date_max": f'date_format(max({c}), "{shape}")'}
+        aggs += [f"{v} AS {k}_{i}" for k, v in own.items()]
+        known = {"variable_position": str(i), "variable_name": quoted(table.display(i)), "source_variable_name": quoted(f.name), "storage_type": quoted(kind.simpleString().split("<")[0]), "n_rows": "rows", "n_non_missing": f"rows - n_missing_{i}", "timezone": "'UTC'" if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else "NULL"}
+        zero = lambda k: "0" if k in ("n_blank_strings", "n_leading_trailing_whitespace", "n_infinite") else "NULL"
+        members = ", ".join(f"cast({known.get(k) or (f'{k}_{i}' if k in own else zero(k))} AS {t}) AS {k}" for k, t in (m.split() for m in BASIC_SCHEMA.split(", ")))
+        rows.append(f"struct({members})")
+    return table.df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def with_quartiles(table: Table, stats: DataFrame) -> DataFrame:
@@ -161,40 +154,49 @@ def frequencies(table: Table, only: list[int] | None = None, whole: bool = False
     Unless `whole`, texts beyond LONG characters come as their first ones, told apart by the digest `long`; `shape` has
     a bit for each of SHAPES that such a text has. Doubles are grouped at 15 significant digits.
     """
-    cells, texts = [], []
+    # Cells by kind, in arrays: what is done to a cell is generated once and not for each column.
+    cells: dict[str, list[tuple[int, str, str]]] = {"d": [], "l": [], "s": [], "t": []}
     for i, c, f in table.columns():
         if only is not None and i not in only:
             continue
-        kind, there = f.dataType, ~table.gone(c, f)
-        cell: dict[str, Column | None] = {"d": None, "l": None, "t": None, "long": None, "shape": None}
+        kind, own = f.dataType, table.known(c, f)
         if isinstance(kind, FLOATS):
-            cell["d"] = digits15(c.cast("double"))
-            texts.append((i, canonical(F.col("d"), T.DoubleType())))
+            cells["d"].append((i, f"cast({own} AS double)", canonical("d", kind)))
         elif isinstance(kind, INTEGERS):
-            cell["l"] = c.cast("long")
-            texts.append((i, F.col("l").cast("string")))
+            cells["l"].append((i, f"cast({own} AS bigint)", "cast(l AS string)"))
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            cell["l"] = F.unix_seconds(c.cast("timestamp"))
-            texts.append((i, F.date_format(F.timestamp_seconds("l"), "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+            cells["l"].append((i, f"unix_seconds(cast({own} AS timestamp))", canonical("timestamp_seconds(l)", kind)))
+        elif isinstance(kind, T.StringType):
+            cells["s"].append((i, own, "t"))
         else:
-            text = cell["t"] = canonical(c, kind)
-            texts.append((i, F.col("t")))
-            if not whole and not isinstance(kind, (T.DateType, T.BooleanType, T.DecimalType, *DURATIONS)):
-                big = F.length(text) > LONG
-                bits = sum((F.when(text.rlike(p), 1 << k).otherwise(0) for k, p in enumerate(SHAPES.values())), F.lit(0)) if isinstance(kind, T.StringType) else F.lit(0)
-                cell |= {"t": F.when(big, F.substring(text, 1, LONG)).otherwise(text), "long": F.when(big, F.unhex(F.sha2(text, 256))), "shape": F.when(big, bits)}
-        kinds = {"d": "double", "l": "long", "t": "string", "long": "binary", "shape": "int"}
-        own = F.struct(F.lit(i).alias("variable_position"), *[(F.lit(None) if v is None else v).cast(kinds[k]).alias(k) for k, v in cell.items()])
-        cells.append(F.when(there, own))
-    if not cells:
+            cells["t"].append((i, f"CASE WHEN NOT {table.absent(c, f)} THEN {canonical(c, kind)} END", "t"))
+    every = [x for part in cells.values() for x in part]
+    if not every:
         return table.df.sparkSession.createDataFrame([], "variable_position int, value string, long binary, shape int, n long, first_row long")
-    numbered = table.df.withColumn("first_row", F.monotonically_increasing_id())
-    melted = numbered.select("first_row", F.explode(F.array_compact(F.array(*cells))).alias("x")).select("first_row", "x.*")
-    counted = melted.groupBy("variable_position", "d", "l", "t", "long", "shape").agg(F.count(F.lit(1)).alias("n"), F.min("first_row").alias("first_row"))
-    value = F.lit(None).cast("string")
-    for i, text in texts:
-        value = F.when(F.col("variable_position") == i, text).otherwise(value)
-    return counted.select("variable_position", value.alias("value"), "long", "shape", "n", "first_row")
+    cells["t"] = [*cells.pop("s"), *cells["t"]]
+    held = {k: v for k, v in cells.items() if v}
+    rows = table.df.selectExpr("monotonically_increasing_id() AS first_row", *[f"array({', '.join(x for _, x, _ in v)}) AS {k}s" for k, v in held.items()])
+    at, start = [], 0
+    for k, v in held.items():
+        at.append(f"get({k}s, j - {start}) AS {k}")
+        start += len(v)
+    melted = rows.selectExpr("*", f"explode(sequence(0, {start - 1})) AS j").selectExpr("first_row", f"element_at(array({', '.join(str(i) for v in held.values() for i, *_ in v)}), j + 1) AS variable_position", *at)
+    there = {"d": "(d IS NOT NULL AND NOT isnan(d))", "l": "l IS NOT NULL", "t": f"(t IS NOT NULL AND {trimmed('t')} != '')" if table.config["profiling"]["blank_as_missing"] else "t IS NOT NULL"}
+    melted = melted.filter(" OR ".join(there[k] for k in held))
+    keys = {"d": digits15("d"), "l": "l", "t": "t"}
+    if "t" in held and not whole:
+        bits = " + ".join(f"if(t RLIKE r'{p}', {1 << k}, 0)" for k, p in enumerate(SHAPES.values()))
+        big = f"length(t) > {LONG}"
+        keys |= {"t": f"if({big}, substring(t, 1, {LONG}), t)", "long": f"if({big}, unhex(sha2(t, 256)), NULL)", "shape": f"if({big}, {bits}, NULL)"}
+        held |= {"long": [], "shape": []}
+    grouped = melted.selectExpr("first_row", "variable_position", *[f"{keys[k]} AS {k}" for k in held]).groupBy("variable_position", *held)
+    counted = grouped.agg(F.count(F.lit(1)).alias("n"), F.min("first_row").alias("first_row"))
+    value: dict[str, list[str]] = {}
+    for i, _, text in every:
+        value.setdefault(text, []).append(str(i))
+    cases = " ".join(f"WHEN variable_position IN ({', '.join(at)}) THEN {text}" for text, at in value.items())
+    more = [k if k in held else f"cast(NULL AS {t}) AS {k}" for k, t in (("long", "binary"), ("shape", "int"))]
+    return counted.selectExpr("variable_position", f"CASE {cases} END AS value", *more, "n", "first_row")
 
 
 def first_values(table: Table, k: int, freq: DataFrame | None = None) -> DataFrame:
@@ -235,9 +237,9 @@ def stats(table: Table, freq: DataFrame | None = None) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """n_rows, duplicate_rows: rows that repeat an earlier one. Rows are shuffled as 128 bits (two seeded 64-bit hashes, which tell nulls by a mask); maps and variants count by their JSON."""
     flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    cells = [comparable(F.col(f.name), f.dataType) for f in flat.schema.fields]
-    nulls = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in cells])
-    groups = flat.groupBy(*[F.xxhash64(F.lit(seed), nulls, *cells).alias(f"h{seed}") for seed in (1, 2)]).agg(F.count(F.lit(1)).alias("n"))
+    cells = [comparable(f.name, f.dataType) for f in flat.schema.fields]
+    nulls = f"concat('', {', '.join(f'int({c} IS NULL)' for c in cells)})" if cells else "''"
+    groups = flat.selectExpr(*[f"xxhash64({', '.join([str(seed), nulls, *cells])}) AS h{seed}" for seed in (1, 2)]).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
