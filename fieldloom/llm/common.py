@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.shared import fresh_path, remove
+
 #: ASCII white space, as the contracts define words and line ends.
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,26 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (a local test), one that is set here."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        import tempfile
-
-        where = tempfile.mkdtemp(prefix="fieldloom-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
 def cut(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder: lineage ends there, lost executors cost no recomputation beyond it. Deleted when the session's JVM ends."""
+    """df as a table in the shared folder: lineage ends there, lost executors cost no recomputation beyond it. Deleted by free(), or when the session's JVM ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/fieldloom/{uuid.uuid4().hex}"
+    path = fresh_path(spark)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _TABLES[id(out)] = (out, path)
+    return out
+
+
+#: Tables written by cut() that may still be freed, by their DataFrame.
+_TABLES: dict[int, tuple[DataFrame, str]] = {}
+
+
+def free(*tables: DataFrame) -> None:
+    """Deletes tables of cut() that nothing will read any more."""
+    for df in tables:
+        if found := _TABLES.pop(id(df), None):
+            remove(df.sparkSession, found[1])
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -89,6 +89,13 @@ def with_leaves(df: DataFrame, mask: str, leaf: str) -> DataFrame:
     return df.withColumn(leaf, F.explode(bits)).drop(mask)
 
 
+def pieces_of(batch: pa.RecordBatch, rows: int, size: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of so many rows, and of about so many bytes where rows are long."""
+    each = max(1, min(rows, rows * size // max(1, batch.nbytes)) if batch.nbytes > size else rows)
+    for at in range(0, batch.num_rows, each):
+        yield batch.slice(at, each)
+
+
 def stream(df: DataFrame, columns: list[str], schema: str, rows: Callable[[Iterator[dict]], Iterable[dict]], slice_rows: int = 256) -> DataFrame:
     """mapInArrow over the named columns; rows gets {name: list} of each slice of a batch and yields {name: list} in schema's order."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -99,8 +106,7 @@ def stream(df: DataFrame, columns: list[str], schema: str, rows: Callable[[Itera
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for at in range(0, batch.num_rows, slice_rows):
-                part = batch.slice(at, slice_rows)
+            for part in pieces_of(batch, slice_rows):
                 yield {name: part.column(i).to_pylist() for i, name in enumerate(columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

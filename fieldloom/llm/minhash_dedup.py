@@ -8,19 +8,26 @@
    share makes no list, unless it is most of a text.
 3. Within a list the union-sketch estimate (agreeing values among the union's values up to the smaller of both
    sketches' ends) filters pairs, five standard deviations below the threshold (exactly at it when the sketches are
-   whole sets). Of the pairs that pass, a spanning forest leaves the list, not all of them. Components of the
-   forests of all lists are clusters: every pair that passes lies in one.
-4. Full sets of the clusters' texts (recomputed from the texts) verify exactly: within a cluster, pairs between
-   texts not yet connected are compared, and links of a spanning forest come out. Their components are the result.
-Lists and clusters above a size are dealt by blocks: each pair of blocks is a task of bounded size, and together
-they hold every pair. Nothing is dropped: a block pair compares all that it holds.
+   whole sets). Of the pairs that pass, a spanning forest leaves the list, not all of them. Lists above a block's size
+   are left as one star, unfiltered. Components of all these edges are clusters: every pair that passes lies in one.
+4. Full sets of the clusters' texts (recomputed from the texts) verify exactly, and links of spanning forests come
+   out. A cluster is dealt by blocks of bounded size. Nearly all clusters are a block; of the others (large groups of
+   near copies, or chains of texts that pass the filter without being linked) texts are first linked within their
+   block, then a few representatives of each linked part across blocks.
+5. What is left are pairs of such clusters that pass the filter and lie in different linked parts. Only lists with
+   members of several parts are looked at again. The largest part's members are dealt by blocks and the others meet
+   each of these blocks, so a list costs its members and what the few others need, and not the square of its blocks.
+   Members with a passing partner in another part are verified by their full sets.
+So every pair that passes the filter is verified or lies in one linked part, and no step holds more than two blocks.
+The components of all links are the result.
 
 A pair at the threshold is missed only if its estimate errs by five standard deviations or its sketches share
 fewer than LEAST of about 51 expected values: by the binomial tail of 64 values at 0.8, about 4 in a million (4.2e-6
 for 35 or fewer, 1.2e-6 for fewer than LEAST). That is a model of infinite sets.
 
 Defined results: null, empty and wordless texts have no shingles, no links, and stay. Texts below `width` words are one
-shingle. Where rows share an identifier or have none, each row is judged by its own text under a row number in a
+shingle. Texts of any length are hashed whole, piece by piece; of pairs exactly at the threshold (ties) all are
+linked. Where rows share an identifier or have none, each row is judged by its own text under a row number in a
 written copy: near_dedup() then tells each component's smallest identifier, null if it has none, and every row with
 that identifier as kept; keep_representatives() leaves one row of each component, so one of rows repeated whole. An
 empty table gives an empty result. Other columns pass through keep_representatives() untouched.
@@ -36,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, keyed_rows, leaf_mask, leaf_of, named, stream, with_leaves
+from .common import cut, free, fresh, keyed_rows, leaf_mask, leaf_of, named, stream, with_leaves
 from .components import components
 
 K, LEAST = 64, 35
@@ -218,8 +225,8 @@ def _forest(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> Iterator
             left = left[~found]
 
 
-def _clusters(classes: DataFrame, share: float) -> DataFrame:
-    """(a, b): forests of the pairs whose estimate passes, over all inverted lists. classes: rep, n, sketch."""
+def _clusters(classes: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
+    """The inverted lists (rep, value, df), and (a, b): forests of the pairs whose estimate passes, stars of large lists. classes: rep, n, sketch."""
     posts = classes.select("rep", "n", F.explode("sketch").alias("value"))
     lists = posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     kept = F.least(F.lit(K), F.col("n"))
@@ -227,11 +234,9 @@ def _clusters(classes: DataFrame, share: float) -> DataFrame:
     agree = F.when(F.col("n") <= int(K * share + 1e-9), F.ceil(F.col("n") * F.lit(share) - 1e-9)).otherwise(F.lit(LEAST if share >= 0.8 else max(1, int(K * share - 5 * (K * share * (1 - share)) ** 0.5))))
     of = Window.partitionBy("rep")
     rarest = posts.join(lists, "value").withColumn("place", F.row_number().over(of.orderBy("df", "value")) + kept - F.count(F.lit(1)).over(of))
-    members = rarest.filter(F.col("place") <= kept - agree + 1).select("rep", "value", "df")
-    blocks = F.ceil(F.col("df") / LIST_BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    pairs = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    pairs = pairs.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep")
+    members = cut(rarest.filter(F.col("place") <= kept - agree + 1).select("rep", "value", "df"))
+    large = members.filter(F.col("df") > LIST_BLOCK)
+    stars = large.join(large.groupBy("value").agg(F.min("rep").alias("least")), "value").select(F.col("rep").alias("a"), F.col("least").alias("b")).filter("a != b")
 
     def judge(got: dict, starts: list[int]) -> tuple[list, list]:
         sketches, _ = _matrix(got["sketch"])
@@ -244,7 +249,8 @@ def _clusters(classes: DataFrame, share: float) -> DataFrame:
         return a, b
 
     kind = dict(classes.dtypes)["rep"]
-    return grouped(pairs.join(classes, "rep"), ["value", "i", "j"], ["rep", "n", "sketch"], f"a {kind}, b {kind}", judge).distinct()
+    small = members.filter(F.col("df") <= LIST_BLOCK).select("rep", "value").join(classes, "rep")
+    return members, grouped(small, ["value"], ["rep", "n", "sketch"], f"a {kind}, b {kind}", judge).unionByName(stars).distinct()
 
 
 def exact_forest(ids: list, sets: list[np.ndarray], percent: int) -> tuple[list, list]:
@@ -273,33 +279,141 @@ def exact_forest(ids: list, sets: list[np.ndarray], percent: int) -> tuple[list,
     return a, b
 
 
-def _verified(docs: DataFrame, clusters: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """(a, b): exact links, a spanning forest within each block pair of each cluster. clusters: id, component."""
-    narrow = docs.select(named(id_col).alias("id"), named(text_col).alias("text")).join(clusters.hint("merge"), "id")
+def exact_links(ids: list, sets: list[np.ndarray], parts: list, percent: int) -> tuple[list, list]:
+    """Links between texts of different parts, enough of them to connect all parts that have any."""
+    a, b = [], []
+    size, (_, part) = np.array([len(s) for s in sets]), np.unique(np.array(parts), return_inverse=True)
+    root = list(range(int(part.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    owner, order = np.repeat(np.arange(len(sets)), size), np.argsort(code, kind="stable")
+    owner, starts, codes = owner[order], np.searchsorted(code[order], np.arange(len(values) + 1)), np.split(code, np.cumsum(size)[:-1])
+    main = np.bincount(part).argmax()
+    for i in np.nonzero(part != main)[0].tolist():  # a pair of different parts has a member outside the largest
+        first, count = starts[codes[i]], starts[codes[i] + 1] - starts[codes[i]]
+        flat = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+        shared = np.bincount(owner[flat], minlength=len(sets))
+        for j in np.nonzero((100 * shared >= percent * (size[i] + size - shared)) & (part != part[i]))[0].tolist():
+            x, y = find(int(part[i])), find(int(part[j]))
+            if x != y:
+                root[x] = y
+                a.append(ids[i])
+                b.append(ids[j])
+    return a, b
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """The rows of wanted (id and longs or identifiers) with n and the full sets of their texts, as a table."""
+    narrow = docs.select(named(id_col).alias("id"), named(text_col).alias("text")).join(wanted.hint("merge"), "id")
+    own = [c for c in wanted.columns if c != "id"]
 
     def rows(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
             sets = list(shingle_sets(part["text"], width))
-            yield {"id": part["id"], "component": part["component"], "n": [len(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
+            yield {c: part[c] for c in ["id", *own]} | {"n": [len(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
+
+    kinds = dict(narrow.dtypes)
+    return cut(stream(narrow, ["id", *own, "text"], ", ".join(f"{c} {kinds[c]}" for c in ["id", *own]) + ", n long, shingles array<bigint>", rows))
 
-    kind = dict(narrow.dtypes)["id"]
-    sets = stream(narrow, ["id", "component", "text"], f"id {kind}, component {kind}, n long, shingles array<bigint>", rows)
-    sets = cut(sets)
-    blocks = sets.groupBy("component").agg(F.ceil(F.sum("n") / CLUSTER_BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.col("blocks"))).cast("int")
-    dealt = sets.join(blocks, "component").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.col("blocks")) - 1)))
-    dealt = dealt.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "shingles")
+
+def _linked(dealt: DataFrame, keys: list[str], percent: int, part: str | None = None) -> DataFrame:
+    """(a, b): exact links of a spanning forest within each group of rows of equal keys; or between its parts."""
+    kind = dict(dealt.dtypes)["id"]
 
     def judge(got: dict, starts: list[int]) -> tuple[list, list]:
         offsets, values = got["shingles"].offsets.to_numpy(), got["shingles"].values.to_numpy().view(np.uint64)
         ids, a, b = got["id"].to_pylist(), [], []
         for s, e in zip(starts[:-1], starts[1:], strict=True):
-            x, y = exact_forest(ids[s:e], [values[offsets[i] : offsets[i + 1]] for i in range(s, e)], percent)
+            sets = [values[offsets[i] : offsets[i + 1]] for i in range(s, e)]
+            x, y = exact_forest(ids[s:e], sets, percent) if part is None else exact_links(ids[s:e], sets, got[part][s:e].to_pylist(), percent)
             a += x
             b += y
         return a, b
 
-    return grouped(dealt, ["component", "i", "j"], ["id", "shingles"], f"a {kind}, b {kind}", judge)
+    return grouped(dealt, keys, ["id", "shingles", *[part] * (part is not None)], f"a {kind}, b {kind}", judge)
+
+
+#: Representatives of a linked part in a block.
+REPRESENTATIVES = 4
+
+
+def _links(docs: DataFrame, classes: DataFrame, lists: DataFrame, clusters: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """(a, b): exact links whose components are those of all pairs that pass the filter and are linked. clusters: id, component."""
+    sized = clusters.join(classes.select(F.col("rep").alias("id"), "n"), "id").withColumn("leaf", leaf_of(F.col("id")))
+    blocks = sized.groupBy("component").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / CLUSTER_BLOCK)).cast("int").alias("blocks"), leaf_mask(F.col("leaf")).alias("leaves"))
+    block = lambda salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col("blocks")).cast("int")
+    placed = cut(sized.join(with_leaves(blocks, "leaves", "leaf"), ["component", "leaf"]).select("id", "component", "blocks", block(0).alias("block")))
+    sets = _sets(docs, placed, id_col, text_col, width)
+    links = cut(_linked(sets, ["component", "block"], percent))
+    inside = sets.filter("blocks > 1").select("id", "component", "block", "n")
+    if inside.isEmpty():
+        free(placed, sets)
+        return links
+    # Representatives of linked parts, across the blocks of a cluster.
+    inside = cut(inside)
+    parts = _parts(inside, links)
+    few = Window.partitionBy("component", "block", "part").orderBy(F.xxhash64("id"), "id")
+    chosen = parts.withColumn("place", F.row_number().over(few)).filter(F.col("place") <= REPRESENTATIVES)
+    ends = chosen.groupBy("component").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / CLUSTER_BLOCK)).cast("int").alias("blocks"))
+    chosen = sets.select("id", "shingles").join(chosen.filter("size > 1").select("id", "component"), "id").join(ends, "component").withColumn("block", block(1))
+    across = cut(links.unionByName(_linked(chosen, ["component", "block"], percent)))
+    # Pairs of different parts: only lists that have several.
+    parts = cut(_parts(inside, across).select("id", "part"))
+    free(placed, sets, links, inside)
+    rest = _between(docs, classes, lists, parts, id_col, text_col, width, percent)
+    return across.unionByName(rest)
+
+
+def _parts(inside: DataFrame, links: DataFrame) -> DataFrame:
+    """inside with part, its component by the links so far, and size, the part's members."""
+    found = components(links).select("id", F.col("component").alias("part"))
+    out = inside.join(found, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    return out.join(out.groupBy("part").agg(F.count(F.lit(1)).alias("size")), "part")
+
+
+def _between(docs: DataFrame, classes: DataFrame, lists: DataFrame, parts: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """(a, b): exact links between texts of different parts. parts: id, part."""
+    posts = lists.select("value", F.col("rep").alias("id")).join(parts, "id").join(classes.select(F.col("rep").alias("id"), "n"), "id")
+    mixed = posts.groupBy("value").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least != most").select("value")
+    counts = posts.join(mixed, "value").groupBy("value", "part").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("words"))
+    main = counts.groupBy("value").agg(F.max(F.struct("m", "part", "words")).alias("top"), F.sum("m").alias("ms"), F.sum("words").alias("ws"))
+    main = main.select("value", F.col("top.part").alias("main"), F.greatest(F.ceil(F.col("top.m") / LIST_BLOCK), F.ceil(F.col("top.words") / CLUSTER_BLOCK)).cast("int").alias("mains"), F.greatest(F.ceil((F.col("ms") - F.col("top.m")) / LIST_BLOCK), F.ceil((F.col("ws") - F.col("top.words")) / CLUSTER_BLOCK)).cast("int").alias("others"))
+    own = F.when(F.col("part") == F.col("main"), F.pmod(F.xxhash64("id"), F.col("mains"))).otherwise(F.col("mains") + F.pmod(F.xxhash64("id"), F.col("others"))).cast("int")
+    # The largest part's blocks meet the others' blocks alone; these meet all.
+    first = F.when(F.col("part") == F.col("main"), F.col("mains")).otherwise(F.lit(0))
+    pairs = posts.join(main, "value").withColumn("own", own).withColumn("other", F.explode(F.sequence(first, F.col("mains") + F.col("others") - 1)))
+    pairs = cut(pairs.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "part"))
+    kinds, share = dict(pairs.dtypes), percent / 100
+
+    def judge(got: dict, starts: list[int]) -> tuple[list, list]:
+        """Members with a passing partner of another part; the group's number stands for its keys."""
+        sketches, _ = _matrix(got["sketch"])
+        ids, size, member, group = got["id"].to_pylist(), got["n"].to_numpy(), [], []
+        part = np.unique(np.array(got["part"].to_pylist()), return_inverse=True)[1]
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            own, near = part[s:e], np.zeros(e - s, bool)
+            for x in np.nonzero(own != np.bincount(own).argmax())[0].tolist():
+                others = np.nonzero(own != own[x])[0]
+                found = others[_passes(sketches[s:e], size[s:e], x, others, share)]
+                near[found] = True
+                near[x] |= len(found) > 0
+            for x in np.nonzero(near)[0].tolist():
+                member.append(ids[s + x])
+                group.append(got["gid"][s + x].as_py())
+        return member, group
+
+    keyed = pairs.withColumn("gid", F.xxhash64("value", "i", "j")).join(classes.select(F.col("rep").alias("id"), "n", "sketch"), "id")
+    near = grouped(keyed, ["value", "i", "j"], ["id", "part", "n", "sketch", "gid"], f"id {kinds['id']}, gid long", judge)
+    near = cut(near.distinct().join(parts, "id"))
+    sets = _sets(docs, near, id_col, text_col, width)
+    out = cut(_linked(sets, ["gid"], percent, "part"))
+    free(pairs, near, sets)
+    return out
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
@@ -311,8 +425,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     classes = cut(live.groupBy(*key).agg(F.min("doc_id").alias("rep"), leaf_mask(F.col("leaf")).alias("leaves")))
     own = signatures.select(F.col("doc_id").alias("rep"), *key, "sketch")
     reps = cut(classes.select("rep", *key).join(own, ["rep", *key]).dropDuplicates(["rep"]).select("rep", "n", "sketch"))
-    clusters = components(_clusters(reps, percent / 100))
-    links = components(_verified(docs, clusters, id_col, text_col, width, percent))
+    lists, passing = _clusters(reps, percent / 100)
+    links = components(_links(docs, reps, lists, components(passing), id_col, text_col, width, percent))
     found = classes.join(links.select(F.col("id").alias("rep"), "component"), "rep", "left").select(*key, "leaves", F.coalesce("component", "rep").alias("component_id"))
     linked = live.join(with_leaves(found, "leaves", "leaf"), [*key, "leaf"]).select("doc_id", "n", "component_id")
     alone = signatures.filter("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
