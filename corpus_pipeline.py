@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldloom.llm import byte_bpe, exact_dedup, language_id, minhash_dedup, mixing
-from fieldloom.llm.common import cut, table
+from fieldloom.llm.common import cut, free, table
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +35,13 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", identified), ("exact_dedup", exact), ("near_dedup", near), ("mix_sources", mixed), ("byte_bpe", encoded)]
 
-#: No SQL expresses the trained network, sketches and merges; the stages are tested against brute force instead.
+#: No SQL expresses the trained network, sketches and merges; the chain is tested against a plain one in Python instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        before, docs = docs, cut(stage(spark, docs, sf_dir))
+        free(before)
     return STAGES[-1][1](spark, docs, sf_dir)

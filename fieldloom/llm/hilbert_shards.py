@@ -4,12 +4,13 @@ Neighbouring cells differ by one step in one dimension, so a run covers a compac
 files' minima and maxima (manifest()) let readers skip most of them. Law `rows`: the runs' counts are at most one apart.
 
 There are at most 2 ** (bits x dimensions) cells (4096 by default); the driver reads their counts, nothing else.
-Within a cell rows stand by a hash of their identifier; a cell is dealt by ranges of that hash into as many buckets
+Within a cell rows stand by a hash of identifier and text; a cell is dealt by ranges of that hash into as many buckets
 as its rows need, so a cell with a third of all rows is spread out, and a row's rank is its cell's start, its
 bucket's start and its number in the bucket.
 
 Defined results: null text has size 1 and the CRC of no bytes. Null metadata is cell 0 of its dimension. Rows that
-repeat an identifier get slots of their own, as do null identifiers. An empty table gives an empty result.
+repeat an identifier get slots of their own, as do null identifiers, which the text tells apart; rows of equal hashes
+(ties) stand by identifier, CRC and size. Very long texts count whole, in bytes. An empty table gives an empty result.
 Other columns are not looked at.
 """
 
@@ -70,7 +71,7 @@ def hilbert_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dims = [category(named(c).cast("string"), bits) for c in categories] + [magnitude(size, bits)]
     names = [f"q{i}" for i in range(len(dims))]
     packed = sum((F.col(q) * (1 << bits * i) for i, q in enumerate(names)), F.lit(0)).cast("int")
-    rows = docs.select(named(id_col).alias("doc_id"), size.alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(named(id_col)).alias("code"), *[d.alias(q) for d, q in zip(dims, names, strict=True)])
+    rows = docs.select(named(id_col).alias("doc_id"), size.alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(named(id_col), text).alias("code"), *[d.alias(q) for d, q in zip(dims, names, strict=True)])
     rows = cut(rows.withColumn("packed", packed))
     counts = {r.packed: r["count"] for r in rows.groupBy("packed").count().collect()}
     total, most, start, cells = sum(counts.values()), max(BUCKET_ROWS, -(-sum(counts.values()) // BUCKETS)), 0, []

@@ -5,11 +5,14 @@ words longer than STEPS bytes go on in further pieces) and label every byte posi
 A document's probability pools the log-probabilities of all its positions. Words repeat, so each worker labels a
 distinct piece once and remembers its sums, for a bounded number of pieces; every byte of every text counts.
 
-The network learns from a bounded sample: about TRAIN_DOCS labelled documents of each language outside the held-out
-fold, chosen by a hash of their identifier, and SAMPLE_CHARS characters of each from a hashed place.
+The network learns from a bounded sample, with three documented parameters of fit(): about train_docs labelled
+documents of each of the `languages` most frequent labels outside the held-out fold, chosen by a hash of identifier and
+text, and sample_chars characters of each from a hashed place (None: whole texts). Everything that is predicted is read
+whole.
 
 Defined results: `und` with score 0 for null texts and texts without a letter, and for all if nothing is labelled.
-Null labels are not learned from; a null identifier isn't held out. Every row gives a row, repeated ones too; an empty
+Null labels are not learned from; a null identifier isn't held out. Very long texts are pooled over all their
+positions, piece by piece. Of equally probable languages (ties) the first by name is told. Every row gives a row, repeated ones too; an empty
 table gives an empty result; other columns pass through keep_identified() untouched, whatever their names.
 """
 
@@ -23,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import named, stream
+from .common import named, pieces_of, stream
 
 STEPS, HIDDEN = 16, 12
-TRAIN_DOCS, SAMPLE_CHARS = 300, 3000
+TRAIN_DOCS, SAMPLE_CHARS, LANGUAGES = 300, 3000, 500
 #: Pieces that a worker remembers; positions that count as one independent witness; bytes that are split at once.
 REMEMBERED, CORRELATED, AT_ONCE = 400_000, 8.0, 1 << 21
 _FLAT = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -243,17 +246,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 7, train_docs: int = TRAIN_DOCS) -> Network:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 7, train_docs: int = TRAIN_DOCS, sample_chars: int | None = SAMPLE_CHARS, languages: int = LANGUAGES) -> Network:
+    """A network trained on at most about train_docs x languages texts, of sample_chars characters each (None: whole)."""
     known = docs.filter(named(text_col).isNotNull() & named(lang_col).isNotNull() & ~held_out(named(id_col)))
-    counts = known.groupBy(named(lang_col).alias("lang")).count().collect()  # a row for each language
+    counts = known.groupBy(named(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return Network([], {})
     part = F.lit(0.0)
     for r in counts:
         part = F.when(named(lang_col) == r["lang"], min(1.0, train_docs / r["count"])).otherwise(part)
-    place = F.pmod(F.xxhash64(named(id_col), F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-    start = F.floor(F.pmod(F.xxhash64(named(id_col)), F.lit(1 << 20)) / float(1 << 20) * F.greatest(F.lit(0), F.length(named(text_col)) - SAMPLE_CHARS)).cast("int") + 1
-    sample = known.filter(place < part).select(named(id_col).alias("doc_id"), named(lang_col).alias("lang"), F.substring(named(text_col), start, F.lit(SAMPLE_CHARS)).alias("text")).collect()
+    text = named(text_col)
+    place = F.pmod(F.xxhash64(named(id_col), text, F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+    if sample_chars is not None:
+        start = F.floor(F.pmod(F.xxhash64(named(id_col), text), F.lit(1 << 20)) / float(1 << 20) * F.greatest(F.lit(0), F.length(text) - sample_chars)).cast("int") + 1
+        text = F.substring(text, start, F.lit(sample_chars))
+    sample = known.filter(place < part).select(named(id_col).alias("doc_id"), named(lang_col).alias("lang"), text.alias("text")).collect()
     by_lang: dict[str, list[bytes]] = {}
     for r in sorted(sample, key=lambda r: (str(r.doc_id), r.text)):
         by_lang.setdefault(r["lang"], []).extend(p for w in pieces(r.text) for p in _parts(w))
@@ -287,8 +294,7 @@ def keep_identified(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = Labeller(network)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for part in pieces_of(batch, 256):
                 yield part.filter(pa.array([x != "und" and s >= least for x, s in label(part.column(at).to_pylist())], pa.bool_()))
 
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots can't pass

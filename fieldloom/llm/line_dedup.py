@@ -7,7 +7,8 @@ them, in time linear in its lines.
 
 Defined results: null and empty texts are one empty line. Empty keys (below min_chars code points) never go.
 Every row is a document of its own, repeated identifiers included (they lose the same lines, and their output
-rows are as many as their input rows). An empty table gives an empty result. Other columns are not looked at.
+rows are as many as their input rows). Very long texts are split whole; lines exactly at the threshold (ties) go. An
+empty table gives an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -6,8 +6,8 @@ overlap), the strongest bin in each of four bands, and pairs of peaks of neighbo
 A pair is one long: time << 20 | bin << 11 | other bin << 2 | frames between.
 
 Defined results: null counts as empty (one block of padding). Texts of any length are taken whole; frames are analysed
-in blocks, so memory beyond the payload itself doesn't grow with the text. Equal texts have equal values. Every row
-gives a row; an empty table gives an empty result; other columns are not looked at.
+in blocks, so memory beyond the payload itself doesn't grow with the text. Equal texts have equal values; of bins of
+equal power (ties) the lowest is the peak. Every row, repeated ones too, gives a row; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations

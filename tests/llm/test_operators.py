@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql.functions import col as F_col
 
 import corpus_pipeline
 from fieldloom.llm import byte_bpe, exact_dedup, hilbert_shards, language_id, line_dedup, media, minhash_dedup, mixing, queries, secret_scan, url_filter
@@ -498,6 +499,122 @@ def test_against_sql(spark, name):
     assert sorted(tuple(text(row[n]) for n in names) for row in df.collect()) == sorted(tuple(text(row[r.columns.index(n)]) for n in names) for row in r.fetchall())
 
 
-def test_pipeline_runs(spark):
-    out = corpus_pipeline.run(spark, SF)
-    assert out.count() > 0 and "n_tokens" in out.columns
+def test_shards_equal_brute_force(spark, docs):
+    """Size, CRC, quantised dimensions, and shards and slots as cuts of the order along the curve."""
+    for df in (docs, spark.read.parquet(f"{SF}/documents.parquet")):
+        rows, got = df.select("doc_id", "text", "lang", "source").collect(), hilbert_shards.hilbert_shards(df).collect()
+        wanted = []
+        for r in rows:
+            data = (r.text or "").encode()
+            cells = [0 if v is None else zlib.crc32(v.encode()) % 15 + 1 for v in (r.source, r.lang)] + [min(15, max(0, (len(data) + 1).bit_length() - 1 - 3))]
+            wanted.append(str((r.doc_id, len(data) + 1, zlib.crc32(data), "rows", hilbert_shards.hilbert_index(cells, 4), None)))
+        assert sorted(str((g.doc_id, g.size, g.text_crc32, g.law, g.cell, g.grown_shard)) for g in got) == sorted(wanted)
+        order = sorted(got, key=lambda g: (g.shard, g.slot))
+        assert [g.cell for g in order] == sorted(g.cell for g in got)
+        counts = [sum(g.shard == k for g in got) for k in range(16)]
+        assert max(counts) - min(counts) <= 1 and [g.slot for g in order] == [i for n in counts for i in range(n)]
+
+
+def test_media_equal_brute_force(spark, docs):
+    """All columns, the spectrum by the transform's definition."""
+    few = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) < 4000").select("doc_id", "text").unionByName(docs.select("doc_id", "text").filter("doc_id is null or doc_id != 6"))
+    texts = {(r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()): r.text for r in few.collect()}
+    t = np.arange(576)
+    basis = np.exp(-2j * np.pi * np.outer(np.arange(289), t) / 576) * (0.5 - 0.5 * np.cos(2 * np.pi * t / 575))
+    checked = 0
+    for r in media.media_columns(few).collect():
+        data = r.media[44:]
+        text = texts[r.doc_id, hashlib.sha256(data[: r.n_bytes]).hexdigest()]
+        payload = (text or "").encode()
+        payload += b"\xff" * ((-len(payload)) % 576 or (0 if payload else 576))
+        assert data == payload and (r.payload_bytes, r.media_bytes, r.tail_crc32) == (len(payload), len(payload) + 44, zlib.crc32(payload[-32:]))
+        assert r.payload_sha256 == hashlib.sha256(payload).hexdigest() and r.media_sha256 == hashlib.sha256(r.media).hexdigest()
+        frames = [payload[at : at + 576] for at in range(0, len(payload) - 575, 288)]
+        power = np.array([np.abs(basis @ (np.frombuffer(f, np.uint8) - 128.0)) ** 2 for f in frames])
+        bands = [(1, 12), (12, 36), (36, 96), (96, 289)]
+        found = {(v >> 20, v >> 11 & 511, v >> 2 & 511, v & 3) for v in r.fingerprints}
+        assert len(r.fingerprints) == sum(len(frames) - later for *_, later in media.PAIRS)
+        for time, x, y, later in found:
+            for frame, b in ((time, x), (time + later, y)):
+                lo, hi = next(band for band in bands if band[0] <= b < band[1])
+                assert power[frame, b] >= power[frame, lo:hi].max() * (1 - 1e-3) - 1e-3
+        checked += len(found)
+    assert checked > 1000
+
+
+def test_language_id_folds_and_undecided(spark, docs):
+    extra = spark.createDataFrame([(100, "12 34 !?", "en"), (101, "\u65e5\u672c", None), (102, "the and of " * 30_000, None)], "doc_id long, text string, lang string")
+    df = spark.read.parquet(f"{SF}/documents.parquet").select(F_col("doc_id"), "text", "lang").unionByName(docs.select("doc_id", "text", "lang")).unionByName(extra)
+    got = language_id.language_id(df).collect()
+    known = {r.lang for r in df.select("lang").distinct().collect() if r.lang}
+    for r in got:
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.lang_pred in known | {"und"} and 0 <= r.score <= 1
+    by = {r.doc_id: r for r in got}
+    assert by[100].lang_pred == "und" and by[101].lang_pred != "und" and by[102].lang_pred != "und"
+    texts = sorted((str(r.doc_id), r.text or "") for r in df.collect())
+    und = sorted(str(r.doc_id) for r in got if r.lang_pred == "und")
+    import unicodedata
+
+    assert und == sorted(i for i, t in texts if not any(unicodedata.category(c).startswith("L") for c in t))
+
+
+def test_values_of_edge_cases(docs):
+    """Null, empty, repeated and very long texts, null identifiers, columns of clashing names."""
+    order = lambda rows: sorted(map(str, rows))
+    words = {None: 0, "": 0, "\n \n": 0, LONG: 200_000}
+    size = lambda t: words.get(t, len((t or "").split()))
+    assert order((r.doc_id, r.size) for r in mixing.training_plan(docs).collect()) == order((i, size(t)) for i, t in TEXTS)
+    path, pattern = byte_bpe.vocabulary()
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in open(path, "rb"))}
+    theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    ids = [(i, theirs.encode_ordinary(t or ""), (t or "").encode()) for i, t in TEXTS]
+    wanted = order((i, len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest(), hashlib.sha256(b).hexdigest()) for i, x, b in ids)
+    assert order((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in byte_bpe.byte_bpe(docs, path, pattern).collect()) == wanted
+    lines = lambda t: (t or "").split("\n")
+    assert order((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in line_dedup.line_dedup(docs).collect()) == order((i, t or "", len(lines(t)), 0) for i, t in TEXTS)
+    assert order((r.doc_id, r.n_assign, r.spans) for r in secret_scan.secret_scan(docs).collect()) == order((i, 0, "") for i, t in TEXTS)
+
+
+def test_pipeline_equals_plain_chain(spark):
+    """Stage by stage in Python: languages as the operator tells them, then exact and near copies, passes, and tokens."""
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    told = {r.doc_id: r for r in language_id.language_id(df).collect()}
+    rows = {r.doc_id: r for r in df.collect() if told[r.doc_id].lang_pred != "und" and told[r.doc_id].score >= 0.4}
+    by = {}
+    for i, r in rows.items():
+        by.setdefault(r.text, []).append(i)
+    rows = {i: rows[i] for i in map(max, by.values())}
+    own = components_of(shingle_sets([(i, r.text) for i, r in rows.items()], 5))
+    rows = {i: r for i, r in rows.items() if own[i] == i}
+    # Mixing: passes by the target of each source, in order of the MD5 of the identifier.
+    sizes = {i: len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for i, r in rows.items()}
+    sources = sorted({r.source for r in rows.values()})
+    whole = {s: sum(n for i, n in sizes.items() if rows[i].source == s) for s in sources}
+    weight = {s: (5.0, 2.0, 1.0)[k % 3] for k, s in enumerate(sources)}
+    target, open_ = {}, set(sources)
+    while open_:
+        left, sum_ = sum(whole.values()) - sum(target.values()), sum(weight[s] for s in open_)
+        over = [s for s in open_ if weight[s] * left / sum_ > 3 * whole[s]]
+        if not over:
+            target |= {s: weight[s] * left / sum_ for s in open_}
+            break
+        target |= {s: 3.0 * whole[s] for s in over}
+        open_ -= set(over)
+    passes = {}
+    for s in sources:
+        before, full = 0, int(target[s] // whole[s])
+        rest = int(target[s] + 0.5) - full * whole[s]
+        for i in sorted((i for i in rows if rows[i].source == s), key=lambda i: hashlib.md5(str(i).encode()).hexdigest()):
+            part = max(0, min(rest - before, sizes[i]))
+            before += sizes[i]
+            if full * sizes[i] + part:
+                passes[i] = full + (part > 0)
+    path, pattern = byte_bpe.vocabulary()
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in open(path, "rb"))}
+    theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    wanted = []
+    for i, n in passes.items():
+        ids = np.array(theirs.encode_ordinary(rows[i].text), "<u4")
+        wanted += [(i, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(rows[i].text.encode()).hexdigest())] * n
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == sorted(wanted) and len(got) > 50
