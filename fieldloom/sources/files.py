@@ -26,12 +26,13 @@ from pyspark.sql import types as T
 
 from ..functions.columns import CODEC, COMPRESSIBLE, EXTENSIONS, byte_text  # noqa: F401
 from ..functions.shared import fresh_path, upload
+from . import foreign
 
 #: Family, format, extensions, availability.
 FORMATS = (
     ("Delimited text", "csv", ".csv", "core"), ("Delimited text", "tsv", ".tsv; .tab", "core"), ("Delimited text", "txt", ".txt", "core"), ("Excel", "xls", ".xls", "unavailable"), ("Excel", "xlsx", ".xlsx", "core"), ("Stata", "dta", ".dta", "core"),
-    ("SAS", "sas7bdat", ".sas7bdat", "core"), ("SAS", "sas7bcat", ".sas7bcat (auxiliary)", "auxiliary"), ("SAS", "xpt", ".xpt", "core"), ("SPSS", "sav", ".sav", "unavailable"), ("SPSS", "zsav", ".zsav", "unavailable"), ("SPSS", "por", ".por", "unavailable"),
-    ("R", "rds", ".rds", "unavailable"), ("R", "rdata", ".rda; .RData", "unavailable"), ("JSON", "json", ".json", "core"), ("JSON", "jsonl", ".jsonl; .ndjson", "core"), ("Arrow", "parquet", ".parquet", "core"), ("Arrow", "feather", ".feather", "core"),
+    ("SAS", "sas7bdat", ".sas7bdat", "core"), ("SAS", "sas7bcat", ".sas7bcat (auxiliary)", "auxiliary"), ("SAS", "xpt", ".xpt", "core"), ("SPSS", "sav", ".sav", "core"), ("SPSS", "zsav", ".zsav", "core"), ("SPSS", "por", ".por", "unavailable"),
+    ("R", "rds", ".rds", "core"), ("R", "rdata", ".rda; .RData", "core"), ("JSON", "json", ".json", "core"), ("JSON", "jsonl", ".jsonl; .ndjson", "core"), ("Arrow", "parquet", ".parquet", "core"), ("Arrow", "feather", ".feather", "core"),
     ("Arrow", "arrow", ".arrow", "core"), ("Arrow", "ipc", ".ipc", "core"), ("Python", "pickle", ".pkl; .pickle", "disabled unless explicitly enabled"),
 )
 
@@ -447,11 +448,48 @@ def normalized(spark: SparkSession, thing, base: str) -> dict[str, DataFrame]:
     return {k: v if isinstance(v, DataFrame) else spark.createDataFrame(v) for k, v in tables.items()}
 
 
+def _framed(spark: SparkSession, frame: foreign.Frame, n_max: float | None) -> DataFrame:
+    """A decoded table; names are set at the end, as they may be blank or repeated."""
+    n = None if n_max is None or n_max == float("inf") else max(0, int(n_max))
+    rows = list(zip(*[values[:n] for _, values, *_ in frame.columns], strict=True))
+    schema = T.StructType([T.StructField(f"c{i}", T._parse_datatype_string(kind)) for i, (*_, kind) in enumerate(frame.columns)])
+    df = spark.createDataFrame(rows, schema)
+    return df.select(*[F.col(f"c{i}").alias(name, metadata=meta) if meta else F.col(f"c{i}").alias(name) for i, (name, _, meta, _) in enumerate(frame.columns)])
+
+
+def read_spss(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
+    """Labels, value labels, formats and declared missing values are kept as metadata."""
+    n = config["input"]["n_max"]
+    frame = foreign.read_spss(_opened(path).getvalue(), n)
+    return [Dataset(_framed(spark, frame, n), stem(path), path, kind, label=frame.label)]
+
+
+def _r_datasets(spark: SparkSession, path: str, kind: str, config: dict, tables: dict[str, foreign.Frame]) -> list[Dataset]:
+    if not tables:
+        raise ValueError("the file holds no table")
+    many = kind == "rdata" or list(tables) != [stem(path)]
+    return [Dataset(_framed(spark, f, config["input"]["n_max"]), f"{stem(path)}__{name}" if many else name, path, kind, object=name if many else None) for name, f in tables.items()]
+
+
+def read_rds(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
+    """A data frame, or a list of them; levels, labels and formats are kept as metadata."""
+    return _r_datasets(spark, path, kind, config, foreign.read_rds(_opened(path).getvalue(), stem(path)))
+
+
+def read_rdata(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
+    """The chosen objects of a workspace that are tables or lists of tables; the others are left out."""
+    objects, tables = foreign.read_rdata(_opened(path).getvalue(), stem(path)), {}
+    for name in selected(list(objects), config["input"]["r_objects"], "R objects"):
+        found = foreign.r_tables(objects[name], name)
+        tables |= found if list(found) == [name] else {f"{name}__{k}": v for k, v in found.items()}
+    return _r_datasets(spark, path, kind, config, tables)
+
+
 def _unavailable(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
     raise NotImplementedError(f"no reader for {kind} files is installed")
 
 
-READERS = {"csv": read_delimited, "tsv": read_delimited, "txt": read_delimited, "xlsx": read_excel, "xls": _unavailable, "dta": read_stata, "sas7bdat": read_sas, "xpt": read_sas, "sav": _unavailable, "zsav": _unavailable, "por": _unavailable, "rds": _unavailable, "rdata": _unavailable, "json": read_json, "jsonl": read_json, "parquet": read_parquet, "feather": read_arrow, "arrow": read_arrow, "ipc": read_arrow, "pickle": read_pickle}
+READERS = {"csv": read_delimited, "tsv": read_delimited, "txt": read_delimited, "xlsx": read_excel, "xls": _unavailable, "dta": read_stata, "sas7bdat": read_sas, "xpt": read_sas, "sav": read_spss, "zsav": read_spss, "por": _unavailable, "rds": read_rds, "rdata": read_rdata, "json": read_json, "jsonl": read_json, "parquet": read_parquet, "feather": read_arrow, "arrow": read_arrow, "ipc": read_arrow, "pickle": read_pickle}
 
 
 def read_source(spark: SparkSession, path: str, config: dict) -> list[Dataset]:

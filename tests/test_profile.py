@@ -116,7 +116,7 @@ def test_end_to_end(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     (src / "e2e.csv").write_text("name,group,amount\n" + "".join(f"Person {i},{'AB'[i % 2]},{i * 10.5}\n" for i in range(1, 12)))
-    (src / "x.rds").write_bytes(b"")
+    (src / "x.por").write_bytes(b"")
     t = run(spark, [str(src)], str(tmp_path / "out"))
     s = t["summary"][0]
     assert (s["datasets"], s["variables"], s["dictionary_rows"], s["files_failed"]) == (1, 3, 3, 1)
