@@ -6,7 +6,7 @@ import re
 import unicodedata
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +97,22 @@ def code_text(code: object) -> str:
     return plain.rstrip("0").rstrip(".") if "." in plain else plain
 
 
+def atomic(c: Column, kind: T.DataType) -> Column:
+    """A cell as one plain value: ISO dates and times, JSON of nested values with their nulls, all else as it is."""
+    if isinstance(kind, T.DateType):
+        return F.date_format(c, "yyyy-MM-dd")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    if isinstance(kind, (*NESTED, T.VariantType)):
+        return F.to_json(c, {"ignoreNullFields": "false"})
+    return F.base64(c) if isinstance(kind, T.BinaryType) else c
+
+
+def atomicized(df: DataFrame) -> DataFrame:
+    """df with every cell as one plain value."""
+    return df.select(*[atomic(F.col(f"`{f.name.replace('`', '``')}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
 def normalized_name(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "_"), "^_+|_+$", "")
 

@@ -129,3 +129,35 @@ def public_dictionary(dictionary: DataFrame) -> DataFrame:
     status = F.concat_ws("; ", F.when(definition == "-", "Definition needed"), F.when(review, "Disclosure review"))
     gone = F.concat(F.format_number("n_missing", 0), F.coalesce(F.concat(F.lit(" ("), F.format_string("%.1f", "percent_missing"), F.lit("%)")), F.lit("")))
     return dictionary.select(show("variable").alias("Variable"), definition.alias("Definition"), F.concat(F.upper(F.substring(kind, 1, 1)), F.substring(kind, 2, 1000)).alias("Type"), F.when(open_values & ~review, show("value_label")).otherwise("-").alias("Categories / values"), F.coalesce(gone, F.lit("-")).alias("Missing"), F.when(status == "", "Definition available").otherwise(status).alias("Status"))
+
+
+def public_catalog(datasets: DataFrame) -> DataFrame:
+    """Dataset (its label, else its name, else its identifier), Records, Variables: a row for each dataset of dataset_id, dataset_name, dataset_label, n_rows, n_columns."""
+    known = lambda c: F.when(F.trim(c).isin("", "NA"), None).otherwise(F.col(c))
+    count = lambda c: F.coalesce(F.format_number(c, 0), F.lit("-"))
+    return datasets.select(F.coalesce(known("dataset_label"), known("dataset_name"), known("dataset_id"), F.lit("-")).alias("Dataset"), count("n_rows").alias("Records"), count("n_columns").alias("Variables"))
+
+
+def public_totals(dictionary: DataFrame, datasets: DataFrame) -> DataFrame:
+    """One row: datasets, variables, records, categorical_fields, definition_gaps, disclosure_flags, status."""
+    flagged = F.coalesce("potential_identifier", F.lit(False)) | F.coalesce("potential_sensitive", F.lit(False))
+    fields = dictionary.agg(F.count(F.lit(1)).alias("variables"), F.count_if(F.coalesce("categorical_eligible", F.lit(False))).alias("categorical_fields"), F.count_if(F.coalesce(F.trim("business_definition") == "", F.lit(True))).alias("definition_gaps"), F.count_if(flagged).alias("disclosure_flags"))
+    whole = datasets.agg(F.count(F.lit(1)).alias("datasets"), F.sum("n_rows").alias("records"))
+    # One row by one row.
+    status = F.when((F.col("definition_gaps") > 0) | (F.col("disclosure_flags") > 0), "Draft \u2014 review before public release").otherwise("Prepared for publication review")
+    return whole.crossJoin(fields).select("datasets", "variables", "records", "categorical_fields", "definition_gaps", "disclosure_flags", status.alias("status"))
+
+
+def labelled_columns(dictionary: DataFrame) -> DataFrame:
+    """The dictionary with a readable label in each field's metadata."""
+    return dictionary.select(*[F.col(c).alias(c, metadata={"label": LABELS[c]}) if c in LABELS else F.col(c) for c in dictionary.columns])
+
+
+#: Readable labels of the dictionary's columns.
+LABELS = {
+    "dataset_id": "Dataset Identifier", "dataset_name": "Dataset Name", "label": "Variable Label", "variable": "Variable Name", "type": "Variable Type", "value_label": "Value Labels or Levels", "value_representation": "Value Representation", "value_domain_status": "Value Domain Authority",
+    "n_missing": "Number Missing per Variable", "percent_missing": "Percent Missing", "n_unique_non_missing": "Distinct Nonmissing Values", "categorical_eligible": "Categorical Eligible", "categorical_status": "Categorical Decision", "semantic_type": "Semantic Type", "measurement_level": "Measurement Level",
+    "business_definition": "Business Definition", "definition_source": "Definition Source", "documentation_status": "Documentation Status", "technical_definition": "Technical Definition", "inferred_validation_rules": "Observed or Inferred Rules", "source_format": "Source Format", "storage_type": "Storage Type",
+    "source_display_format": "Source Display Format", "units": "Units", "nullable_observed": "Missingness Observed", "n_system_missing": "Native Missing Count", "n_blank_strings": "Blank String Count", "potential_identifier": "Potential Identifier", "potential_sensitive": "Potential Sensitive Field",
+    "review_required": "Review Required", "review_reason": "Review Reason", "classification_reason": "Classification Reason", "examples": "Representative Values", "variable_position": "Variable Position", "source_variable_name": "Source Variable Name",
+}

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..config import load
 from ..functions.columns import group_of, slugify
 from ..operators.classify import classified
-from ..operators.dictionary import data_dictionary, dataset_issues, documentation_gaps, public_dictionary, variable_issues, with_examples
+from ..operators.dictionary import data_dictionary, dataset_issues, documentation_gaps, labelled_columns, public_catalog, public_dictionary, public_totals, variable_issues, with_examples
 from ..operators.levels import categorical_levels, value_labels
 from ..operators.profile import Table, dataset_cells, duplicate_rows, frequencies, union_fill, with_quartiles
 from ..operators.schema import schema_rows
@@ -64,7 +64,7 @@ def profile(df: DataFrame, name: str = "data", config: dict | None = None, datas
 def dictionary_of(df: DataFrame, max_categorical_levels: int = 10, dataset_id: str = "data", dataset_name: str | None = None) -> DataFrame:
     """The data dictionary of a DataFrame, without any file."""
     config = load({"profiling": {"max_categorical_levels": max_categorical_levels, "check_duplicate_rows": False}, "dictionary": {"inline_max_values": max_categorical_levels, "preview_values": min(5, max_categorical_levels)}})
-    return profile(df, dataset_name or dataset_id, config, dataset_id, "in_memory")["data_dictionary"]
+    return labelled_columns(profile(df, dataset_name or dataset_id, config, dataset_id, "in_memory")["data_dictionary"])
 
 
 class Problems(Sequence):
@@ -304,6 +304,20 @@ def public_rows(dictionary: list[dict]) -> list[dict]:
     return [r.asDict() for r in public_dictionary(spark.createDataFrame([tuple(r[n] for n in names) for r in dictionary], schema)).collect()]
 
 
+def public_overview(t: dict[str, Sequence[dict]], most: int) -> list[tuple[str, str]]:
+    """Totals, what is still to be reviewed, the catalog of datasets and what is known of the project; no path, owner or value of a field."""
+    from pyspark.sql import SparkSession as S
+
+    spark = S.getActiveSession()
+    datasets = spark.createDataFrame([tuple(d.get(k) for k in ("dataset_id", "dataset_name", "dataset_label", "n_rows", "n_columns")) for d in t["dataset_metadata"]], "dataset_id string, dataset_name string, dataset_label string, n_rows long, n_columns long")
+    fields = spark.createDataFrame([tuple(r[k] for k in ("business_definition", "potential_identifier", "potential_sensitive", "categorical_eligible")) for r in t["data_dictionary"]], "business_definition string, potential_identifier boolean, potential_sensitive boolean, categorical_eligible boolean")
+    totals = public_totals(fields, datasets).first().asDict()
+    shown = [{"Total": k.replace("_", " ").capitalize(), "Value": v if isinstance(v, str) else "-" if v is None else f"{v:,}"} for k, v in totals.items()]
+    project = [{"Field": k.replace("_", " ").capitalize(), "Value": v} for k, v in t["administrative_metadata"][0].items() if v and k not in ("data_owner", "data_steward", "source_system")]
+    review = f"<p>{totals['definition_gaps']:,} definition gap(s); {totals['disclosure_flags']:,} field(s) flagged for disclosure review. Flags are prompts for a person to confirm.</p>"
+    return [("Overview", html_table(shown, most) + review), ("Project", html_table(project, most)), ("Datasets", html_table([r.asDict() for r in public_catalog(datasets).collect()], most))]
+
+
 def export(t: dict[str, Sequence[dict]], output: str, c: dict) -> None:
     import yaml
 
@@ -330,6 +344,6 @@ def export(t: dict[str, Sequence[dict]], output: str, c: dict) -> None:
             f.write(_page("Data dictionary and metadata", [(name.replace("_", " "), html_table(t[name], most)) for _, name, *_ in CATALOG]))
         sections = [(d["dataset_label"] or d["dataset_name"], html_table(public_rows([r for r in t["data_dictionary"] if r["dataset_id"] == d["dataset_id"]]), most)) for d in t["dataset_metadata"]]
         with open(at("open_science_metadata_report.html"), "w", encoding="utf-8") as f:
-            f.write(_page("Open metadata report", sections))
+            f.write(_page(f"Open science metadata report: {c['metadata']['project_name'] or 'Open science data release'}", [*public_overview(t, most), *sections]))
     found = sorted(os.path.join(d, f) for d, _, fs in os.walk(output) for f in fs)
     write_csv(at("artifact_manifest.csv"), [{"artifact": os.path.basename(p), "relative_path": os.path.relpath(p, output), "artifact_group": group_of(os.path.relpath(p, output)), "path": os.path.abspath(p), "size_bytes": os.path.getsize(p), "md5": files.md5_of(p)} for p in found])

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .config import DEFAULTS, load, merged
 from .functions import columns as fn
@@ -143,20 +144,25 @@ def levels_sql(name: str, columns: list[str], most: int = 50) -> str:
     return "\nUNION ALL ".join(out)
 
 
-DICTIONARY = ("variable_position", "variable", "value_label", "n_missing", "percent_missing", "n_unique_non_missing", "categorical_eligible", "categorical_status", "semantic_type", "measurement_level", "value_representation", "value_domain_status", "definition_source", "documentation_status", "technical_definition", "potential_identifier", "potential_sensitive", "review_required", "review_reason", "classification_reason")
+DICTIONARY = ("variable_position", "variable", "value_label", "n_missing", "percent_missing", "n_unique_non_missing", "categorical_eligible", "categorical_status", "semantic_type", "measurement_level", "value_representation", "value_domain_status", "definition_source", "documentation_status", "technical_definition", "potential_identifier", "potential_sensitive", "review_required", "review_reason", "classification_reason", "label", "dataset_id", "dataset_name", "business_definition", "inferred_validation_rules", "source_format", "source_display_format", "units", "nullable_observed", "n_system_missing", "n_blank_strings", "source_variable_name")
 
 
 def dictionary_sql(name: str) -> str:
     texts = [c for c, kind in TABLES_OF[name] if kind == "text"]
     lists = levels_sql(name, texts) or "SELECT 0 AS variable_position, 0 AS level_order, '' AS display_value, TRUE AS is_missing, FALSE AS is_other_unreported"
     words = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in dictionary.TECHNICAL.items())
+    plain = lambda c: f"format('{{:.15g}}', {c})"
+    rules = f"""concat_ws(' ', CASE WHEN n_missing > 0 THEN 'Missing values were observed.' ELSE 'No missing values were observed.' END, CASE WHEN categorical_eligible THEN 'Observed or defined categories are documented in the value/level tables.' END,
+    CASE WHEN textual THEN 'Treat as text rather than a categorical field under the configured 10-level rule.' END, 'Observed numeric range: ' || {plain('numeric_min')} || ' to ' || {plain('numeric_max')} || '.',
+    'Observed date/time range: ' || date_min || ' to ' || date_max || '.', 'Maximum observed text length: ' || {plain('string_max_length')} || ' character(s).')"""
     return classes_sql(name) + f""", e AS (SELECT variable_position, string_agg(display_value, '; ' ORDER BY level_order) AS l, count(*) AS m FROM ({lists}) AS q WHERE NOT is_missing AND NOT is_other_unreported GROUP BY ALL HAVING count(*) <= 10),
 d AS (SELECT k.*, l, CASE WHEN categorical_eligible THEN 'Categorical: ' || n_unique_non_missing || ' observed distinct nonmissing value(s).' WHEN textual THEN 'Not categorical: ' || n_unique_non_missing || ' distinct nonblank value(s) exceed the configured limit of 10.' WHEN semantic_type = 'text_all_missing' THEN 'Not classified as categorical because no nonblank values were observed.' ELSE 'Not applicable to this variable type.' END AS categorical_status FROM k LEFT JOIN e USING (variable_position))
 SELECT variable_position, variable_name AS variable, CASE WHEN categorical_eligible THEN l WHEN textual THEN categorical_status END AS value_label, n_missing, round(percent_missing, 6) AS percent_missing, n_unique_non_missing, categorical_eligible, categorical_status, semantic_type, measurement_level,
   CASE WHEN categorical_eligible THEN 'observed categorical values' WHEN textual THEN 'high-cardinality character field; values intentionally not enumerated' ELSE 'not applicable' END AS value_representation,
   CASE WHEN categorical_eligible THEN 'observed values only; not an authoritative allowed-value rule' WHEN textual THEN 'not enumerated because the field is not categorical' ELSE 'not applicable' END AS value_domain_status, 'not supplied' AS definition_source, 'needs business definition' AS documentation_status,
   CASE semantic_type {words} END || '. ' || classification_reason AS technical_definition, potential_identifier, potential_sensitive, TRUE AS review_required,
-  concat_ws('; ', 'business definition is missing', CASE WHEN textual THEN 'non-categorical character classification should be reviewed' END, CASE WHEN potential_identifier THEN 'potential identifier' END, CASE WHEN potential_sensitive THEN 'potentially sensitive field' END) AS review_reason, classification_reason FROM d"""
+  concat_ws('; ', 'business definition is missing', CASE WHEN textual THEN 'non-categorical character classification should be reviewed' END, CASE WHEN potential_identifier THEN 'potential identifier' END, CASE WHEN potential_sensitive THEN 'potentially sensitive field' END) AS review_reason, classification_reason,
+  NULL::VARCHAR AS label, '{name}' AS dataset_id, '{name}' AS dataset_name, NULL::VARCHAR AS business_definition, {rules} AS inferred_validation_rules, 'in_memory' AS source_format, NULL::VARCHAR AS source_display_format, NULL::VARCHAR AS units, n_missing > 0 AS nullable_observed, n_system_missing, n_blank_strings, variable_name AS source_variable_name FROM d"""
 
 
 ISSUES = ("variable_position", "variable_name", "severity", "issue_type", "metric", "threshold", "message")
@@ -231,8 +237,9 @@ def _build() -> dict[str, tuple[Query, str]]:
     file = "CASE page_id % 5 WHEN 0 THEN 'csv/data_dictionary.csv' WHEN 1 THEN 'resolved_config.yml' WHEN 2 THEN 'csv/value_labels.csv' WHEN 3 THEN 'open_science_metadata_report.html' ELSE 'csv/errors.csv' END"
     out["artifact_group"] = (lambda s, d: source(s, d, "pages").select("page_id", fn.artifact_group(F.expr(file)).alias("artifact_group")), "SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'dictionary' WHEN 1 THEN 'control' WHEN 2 THEN 'dictionary + metadata' WHEN 3 THEN 'public report' ELSE 'metadata' END AS artifact_group FROM pages")
     out["union_fill"] = (lambda s, d: profile.union_fill([source(s, d, "region"), source(s, d, "nation")]), "SELECT * FROM region UNION ALL BY NAME SELECT * FROM nation")
-    out["limit_rows"] = (lambda s, d: profile.limit_rows(source(s, d, "nation"), 10).agg(F.count(F.lit(1)).alias("n")), "SELECT 10::BIGINT AS n")
-    out["atomicize_embeddings"] = (lambda s, d: source(s, d, "embeddings").select("vec_id", F.size(F.from_json(F.to_json("embedding"), "array<double>")).cast("long").alias("n"), "label"), "SELECT vec_id, len(embedding)::BIGINT AS n, label FROM embeddings")
+    out["limit_rows"] = (lambda s, d: profile.limit_rows(source(s, d, "nation"), 10), "SELECT * FROM nation WHERE n_nationkey IN (SELECT n_nationkey FROM nation LIMIT 10)")
+    atomic = lambda c: F.from_json(fn.atomic(F.col(c), T.ArrayType(T.FloatType())), "array<double>")
+    out["atomicize_embeddings"] = (lambda s, d: source(s, d, "embeddings").select("vec_id", F.size(atomic("embedding")).cast("long").alias("n"), F.round(F.array_max(atomic("embedding")), 5).alias("most"), F.round(F.get(atomic("embedding"), F.lit(63)), 5).alias("last"), "label"), "SELECT vec_id, len(embedding)::BIGINT AS n, round(list_max(embedding)::DOUBLE, 5) AS most, round(embedding[64]::DOUBLE, 5) AS last, label FROM embeddings")
     out["issues_by_type"] = (lambda s, d: profiled(source(s, d, "events"), "events")["quality_issues"].filter("issue_type = 'high_cardinality_character'").select("variable_name", "metric"), classes_sql("events") + "SELECT variable_name, n_unique_non_missing::DOUBLE AS metric FROM k WHERE textual AND n_unique_non_missing > 10")
     out["dict_dataset_lookup"] = (lambda s, d: profiled(source(s, d, "nation"), "nation")["data_dictionary"].select("dataset_id", "dataset_name", "source_format", "variable"), "SELECT 'nation' AS dataset_id, 'nation' AS dataset_name, 'in_memory' AS source_format, unnest(['n_nationkey', 'n_name', 'n_regionkey']) AS variable")
 
@@ -254,6 +261,14 @@ def _build() -> dict[str, tuple[Query, str]]:
     out["distinct_doubles"] = (lambda s, d: profile.stats(profile.Table(doubles(s, d))).select("n_unique_non_missing", "n_non_missing", "numeric_min"), f"SELECT count(DISTINCT {text}) FILTER (x IS NOT NULL)::BIGINT AS n_unique_non_missing, count(x)::BIGINT AS n_non_missing, min(abs(x)) AS numeric_min FROM {own}")
     public = ("Variable", "Definition", "Type", "Categories / values", "Missing", "Status")
     out["public_dictionary_customer"] = (lambda s, d: dictionary.public_dictionary(profiled(source(s, d, "customer"), "customer")["data_dictionary"]).select(*[F.col(f"`{c}`").alias(c.lower().replace(" / ", "_")) for c in public]), f"SELECT variable, '-' AS definition, upper(measurement_level[1]) || measurement_level[2:] AS type, CASE WHEN categorical_eligible AND NOT potential_identifier AND NOT potential_sensitive THEN value_label ELSE '-' END AS categories_values, n_missing || ' (' || printf('%.1f', percent_missing) || '%)' AS missing, 'Definition needed' || CASE WHEN potential_identifier OR potential_sensitive THEN '; Disclosure review' ELSE '' END AS status FROM ({dictionary_sql('customer')}) AS q")
+    flags = "count(*) FILTER (potential_identifier OR potential_sensitive)"
+
+    def totals(s: SparkSession, d: str) -> DataFrame:
+        parts = profiled(source(s, d, "customer"), "customer")
+        return dictionary.public_totals(parts["data_dictionary"], parts["dataset_metadata"])
+
+    out["public_totals_customer"] = (totals, f"SELECT 1::BIGINT AS datasets, count(*)::BIGINT AS variables, any_value(n_rows)::BIGINT AS records, count(*) FILTER (categorical_eligible)::BIGINT AS categorical_fields, count(*)::BIGINT AS definition_gaps, {flags}::BIGINT AS disclosure_flags, 'Draft \u2014 review before public release' AS status FROM ({classes_sql('customer')} SELECT * FROM k) AS q")
+    out["public_catalog_orders"] = (lambda s, d: dictionary.public_catalog(profiled(source(s, d, "orders"), "orders", label=" ")["dataset_metadata"]).select(*[F.col(c).alias(c.lower()) for c in ("Dataset", "Records", "Variables")]), "SELECT 'orders' AS dataset, format('{:,}', count(*)) AS records, '6' AS variables FROM orders")
     quoted = lambda x: x.replace("'", "''")
     texts = ", ".join(f"('{r['column_name']}', '{quoted(r['definition'])}')" for r in schema.schema_rows())
     out["dictionary_schema"] = (lambda s, d: schema.dictionary_schema(s), f"SELECT * FROM (VALUES {texts}) AS t(column_name, definition)")

@@ -121,6 +121,7 @@ def test_end_to_end(spark, tmp_path):
     s = t["summary"][0]
     assert (s["datasets"], s["variables"], s["dictionary_rows"], s["files_failed"]) == (1, 3, 3, 1)
     public = (tmp_path / "out/open_science_metadata_report.html").read_text()
+    assert "definition gap(s)" in public and "<td>e2e</td><td>11</td><td>3</td>" in public
     assert str(src) not in public and "Person 1" not in public and ">NA<" not in public
     assert zipfile.ZipFile(tmp_path / "out/metadata.xlsx").testzip() is None and (tmp_path / "out/artifact_manifest.csv").exists()
     with pytest.raises(FileExistsError):
