@@ -7,10 +7,9 @@ import os
 import sys
 
 from .config import DEFAULTS
+from .plans.pipelines import known, resolved
 from .plans.project import PROFILE, Version, launch, read_profile, write_profile
 
-#: Pipelines by name, with what they do.
-PIPELINES = {"data_dictionary": "profile tables and write their data dictionary and metadata"}
 #: Other names by which settings are known.
 ALIASES = {"use_variable_label_as_definition": "use_label_as_definition"}
 _LISTS = ("excel_sheets", "r_objects", "tags")
@@ -55,11 +54,12 @@ def overrides(args: argparse.Namespace) -> dict:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser("fieldloom", description=__doc__, allow_abbrev=False)
     sub = p.add_subparsers(dest="command", required=True)
-    sub.add_parser("list", help="pipelines")
+    sub.add_parser("list", help="pipelines").add_argument("--registry", help="YAML file that lists further pipelines")
     one = sub.add_parser("run", help="files to artifacts in a folder", allow_abbrev=False)
     many = sub.add_parser("project", help="a dated version of a project", allow_abbrev=False)
     for q in (one, many):
-        q.add_argument("--pipeline", default="data_dictionary", choices=sorted(PIPELINES))
+        q.add_argument("--pipeline", default="data_dictionary")
+        q.add_argument("--registry", help="YAML file that lists further pipelines")
         q.add_argument("--input", action="append", required=True)
         q.add_argument("--config")
         _settings(q)
@@ -80,7 +80,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.command == "list":
-        print("\n".join(f"{k}: {v}" for k, v in sorted(PIPELINES.items())))
+        print("\n".join(f"{k}: {p.description or p.title}{'' if p.enabled else ' (switched off)'}" for k, p in known(args.registry).items()))
         return 0
     if args.command == "profile":
         if args.action == "write":
@@ -90,15 +90,13 @@ def main(argv: list[str] | None = None) -> int:
             found = read_profile(args.path, args.action == "read-json")
             print(found if isinstance(found, str) else "\n".join(found.values()))
         return 0
-    given, inputs = overrides(args), parts(args.input)
+    given, inputs, entry = overrides(args), parts(args.input), resolved(args.pipeline, args.registry).load()
 
     def job(output: str, saved: str | None) -> None:
         from pyspark.sql import SparkSession
 
-        from .plans.run import run
-
         spark = SparkSession.builder.appName("fieldloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-        run(spark, inputs, output, args.config or saved, given)
+        entry(spark, inputs, output, args.config or saved, given)
 
     if args.command == "run":
         job(args.output, None)

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from ..functions.columns import CODEC, COMPRESSIBLE, EXTENSIONS, byte_text  # noqa: F401
 from ..functions.shared import fresh_path, upload
 from . import foreign
+from .worker import isolated
 
 #: Family, format, extensions, availability.
 FORMATS = (
@@ -248,14 +249,16 @@ _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
 
 def workbook(path: str) -> dict[str, list[list]]:
-    """Sheets of an .xlsx file in their order: rows of cells (text, number, boolean or None)."""
+    """Sheets of an .xlsx file in their order: rows of cells (text, number, boolean, time or None)."""
     rel = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
     with zipfile.ZipFile(path) as z:
         read = lambda n: ElementTree.fromstring(z.read(n))
         shared = ["".join(t.text or "" for t in s.iter(f"{_SHEET}t")) for s in read("xl/sharedStrings.xml")] if "xl/sharedStrings.xml" in z.namelist() else []
         targets = {r.get("Id"): r.get("Target").lstrip("/") for r in read("xl/_rels/workbook.xml.rels")}
-        out = {}
-        for sheet in read("xl/workbook.xml").iter(f"{_SHEET}sheet"):
+        out, book, times = {}, read("xl/workbook.xml"), _time_styles(read("xl/styles.xml")) if "xl/styles.xml" in z.namelist() else set()
+        facts = book.find(f"{_SHEET}workbookPr")
+        first = dt.datetime(1904, 1, 1) if facts is not None and facts.get("date1904") in ("1", "true") else dt.datetime(1899, 12, 30)
+        for sheet in book.iter(f"{_SHEET}sheet"):
             target, rows = targets[sheet.get(rel)], []
             for r in read(target if target.startswith("xl/") else f"xl/{target}").iter(f"{_SHEET}row"):
                 cells: list = []
@@ -266,12 +269,24 @@ def workbook(path: str) -> dict[str, list[list]]:
                     cells += [None] * (at - 1 - len(cells))
                     v, t = c.find(f"{_SHEET}v"), c.get("t", "n")
                     text = "".join(x.text or "" for x in c.iter(f"{_SHEET}t")) if t == "inlineStr" else v.text if v is not None else None
-                    cells.append(None if text is None else shared[int(text)] if t == "s" else text == "1" if t == "b" else text if t in ("str", "inlineStr", "e") else float(text) if "." in text or "e" in text.lower() else int(text))
+                    cells.append(None if text is None else shared[int(text)] if t == "s" else text == "1" if t == "b" else text if t in ("str", "inlineStr", "e") else first + dt.timedelta(seconds=round(float(text) * 86400)) if int(c.get("s", 0)) in times else float(text) if "." in text or "e" in text.lower() else int(text))
                 rows.append(cells)
             out[sheet.get("name")] = rows
     return out
 
 
+def _time_styles(styles: ElementTree.Element) -> set[int]:
+    """Numbers of the cell styles that show dates or times."""
+    # Fixed values of the format: its own formats of dates and times.
+    shown = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+    for f in styles.iter(f"{_SHEET}numFmt"):
+        bare = re.sub(r'"[^"]*"|\\\\.|\[[^\]]*\]', "", f.get("formatCode", ""))
+        if re.search("[dmyhs]", bare, re.IGNORECASE) and "General" not in bare:
+            shown.add(int(f.get("numFmtId")))
+    formats = styles.find(f"{_SHEET}cellXfs")
+    return {i for i, x in enumerate(formats if formats is not None else []) if int(x.get("numFmtId", 0)) in shown}
+
+
 def selected(names: list[str], wanted: str | list[str], what: str) -> list[str]:
     if wanted == "all" or wanted == ["all"]:
         return names
@@ -286,8 +301,8 @@ def _typed(spark: SparkSession, names: list[str], rows: list[list]) -> DataFrame
     kinds = []
     for i in range(len(names)):
         seen = {type(r[i]) for r in rows if i < len(r) and r[i] is not None}
-        kinds.append(T.BooleanType() if seen == {bool} else T.LongType() if seen == {int} else T.DoubleType() if seen and seen <= {int, float} else T.StringType())
-    cast = {T.LongType: int, T.DoubleType: float, T.BooleanType: bool, T.StringType: str}
+        kinds.append(T.BooleanType() if seen == {bool} else T.LongType() if seen == {int} else T.DoubleType() if seen and seen <= {int, float} else T.TimestampNTZType() if seen == {dt.datetime} else T.StringType())
+    cast = {T.TimestampNTZType: lambda x: x, T.LongType: int, T.DoubleType: float, T.BooleanType: bool, T.StringType: str}
     data = [tuple(None if i >= len(r) or r[i] is None else cast[type(kinds[i])](r[i]) for i in range(len(names))) for r in rows]
     return spark.createDataFrame(data, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
 
@@ -322,27 +337,16 @@ def _opened(path: str) -> io.BytesIO:
 
 def read_stata(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
     """Labels, formats and counts of tagged missing values (.a to .z) are kept as metadata; files of versions 114 and 115 whose tail is damaged, or that have bytes behind it, go to the fixed-width recovery."""
-    import pandas as pd
-
-    data, n_max = _opened(path), config["input"]["n_max"]
-    reason = trailing_payload(data.getvalue())
+    data, n_max = _opened(path).getvalue(), config["input"]["n_max"]
+    reason = trailing_payload(data)
     try:
         if reason:
             raise ValueError(reason)
-        with pd.io.stata.StataReader(data, convert_categoricals=False, convert_missing=True) as r:
-            frame, labels, sets, names, formats = r.read(nrows=n_max), r.variable_labels(), r.value_labels(), dict(zip(r._varlist, r._lbllist, strict=False)), dict(zip(r._varlist, r._fmtlist, strict=False))
+        found = isolated("dta", data, n_max)
     except Exception as e:
-        frame, labels = recovered_stata(data.getvalue(), n_max)
+        frame, labels = recovered_stata(data, n_max)
         return [Dataset(_with_labels(spark, frame, labels, {}), stem(path), path, kind, notes=f"read by the fixed-width recovery: {str(e)[:200]}")]
-    tags: dict[str, dict[str, int]] = {}
-    gone = pd.io.stata.StataMissingValue
-    for i, c in enumerate(frame.columns):
-        marks = [v.string[1:] for v in frame.iloc[:, i] if isinstance(v, gone)] if frame.dtypes.iloc[i] == object else []
-        if marks:
-            tags[c] = {t: marks.count(t) for t in sorted(set(marks)) if t}
-            frame[c] = pd.to_numeric(pd.Series([None if isinstance(v, gone) else v for v in frame[c]], index=frame.index, dtype=object)).astype("float64")
-    values = {c: {str(k): v for k, v in sets[n].items()} for c, n in names.items() if n in sets}
-    return [Dataset(_with_labels(spark, frame, labels, values, formats, {c: {"tags": t} for c, t in tags.items() if t}), stem(path), path, kind)]
+    return [Dataset(_with_labels(spark, found["frame"], found["labels"], found["values"], found["formats"], {c: {"tags": t} for c, t in found["tags"].items() if t}), stem(path), path, kind)]
 
 
 def trailing_payload(data: bytes) -> str | None:
@@ -402,11 +406,8 @@ def recovered_stata(data: bytes, n_max: int | None = None):
 
 
 def read_sas(spark: SparkSession, path: str, kind: str, config: dict) -> list[Dataset]:
-    import pandas as pd
-
-    frame = pd.read_sas(_opened(path), format="xport" if kind == "xpt" else "sas7bdat", encoding="latin-1")
-    n = config["input"]["n_max"]
-    return [Dataset(_with_labels(spark, frame if n is None else frame.head(int(n)), {}, {}), stem(path), path, kind)]
+    found = isolated(kind, _opened(path).getvalue(), config["input"]["n_max"])
+    return [Dataset(_with_labels(spark, found["frame"], {}, {}), stem(path), path, kind)]
 
 
 def sas_catalog(path: str, config: dict) -> str | None:

@@ -326,3 +326,27 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="checkpoint"):
         shared_dir(Session)
+
+
+def test_dates_of_workbooks(spark, tmp_path):
+    path = str(tmp_path / "d.xlsx")
+    write_xlsx(path, {"s": [{"id": 1, "day": 45292, "at": 45292.5}, {"id": 2, "day": 45293, "at": None}]})
+    with zipfile.ZipFile(path) as z:
+        parts = {n: z.read(n) for n in z.namelist()}
+    styles = parts["xl/styles.xml"].replace(b'<cellXfs count="3">', b'<cellXfs count="5">').replace(b"</cellXfs>", b'<xf numFmtId="14"/><xf numFmtId="170"/></cellXfs>').replace(b"<fonts", b'<numFmts count="1"><numFmt numFmtId="170" formatCode="yyyy\\-mm\\-dd hh:mm"/></numFmts><fonts')
+    sheet = parts["xl/worksheets/sheet1.xml"].replace(b'r="B2" s="0"', b'r="B2" s="3"').replace(b'r="B3" s="0"', b'r="B3" s="3"').replace(b'r="C2" s="0"', b'r="C2" s="4"')
+    with zipfile.ZipFile(path, "w") as z:
+        for n, b in (parts | {"xl/styles.xml": styles, "xl/worksheets/sheet1.xml": sheet}).items():
+            z.writestr(n, b)
+    (d,) = files.read_source(spark, path, load())
+    assert [tuple(map(str, r)) for r in d.df.collect()] == [("1", "2024-01-01 00:00:00", "2024-01-01 12:00:00"), ("2", "2024-01-02 00:00:00", "None")]
+
+
+def test_reader_in_its_own_process(spark, tmp_path):
+    from fieldloom.sources.worker import isolated
+
+    with pytest.raises(RuntimeError, match="reader of dta files ended with 1"):
+        isolated("dta", b"not a file", None)
+    (tmp_path / "x.dta").write_bytes(b"not a file")
+    t = run(spark, [str(tmp_path / "x.dta")])
+    assert t["input_inventory"][0]["status"] == "failed" and t["errors"][0]["stage"] == "ingestion"

@@ -47,3 +47,28 @@ def test_settings(capsys):
     got = overrides(parser().parse_args(["run", "--input", "a", "--recursive", "--n-max", "5", "--overwrite", "false", "--tags", "a,b", "--tags", "c", "--excel-sheets", "all"]))
     assert got == {"input": {"recursive": True, "n_max": 5, "excel_sheets": "all"}, "output": {"overwrite": False}, "metadata": {"tags": ["a", "b", "c"]}}
     assert main(["list"]) == 0 and "data_dictionary" in capsys.readouterr().out
+
+
+def seen(spark, inputs, output, config, settings):
+    return inputs
+
+
+def test_pipelines(tmp_path, capsys):
+    from fieldloom.plans import pipelines
+
+    path = tmp_path / "pipelines.yml"
+    path.write_text("pipelines:\n  own:\n    entry: tests.test_project:seen\n    description: what is seen\n  closed:\n    entry: a:b\n    enabled: false\n  gone:\n    entry: no.such.module:run\n")
+    assert list(pipelines.known(str(path))) == ["closed", "data_dictionary", "gone", "own"]
+    assert pipelines.resolved("data_dictionary").load().__name__ == "run"
+    for name in ("closed", "none"):
+        with pytest.raises(LookupError):
+            pipelines.resolved(name, str(path))
+    with pytest.raises(LookupError, match="can't be loaded"):
+        pipelines.resolved("gone", str(path)).load()
+    assert main(["list", "--registry", str(path)]) == 0 and "own: what is seen" in capsys.readouterr().out
+    (tmp_path / "bad.yml").write_text("pipelines: {x: {}}")
+    with pytest.raises(ValueError):
+        pipelines.known(str(tmp_path / "bad.yml"))
+    pipelines.register(pipelines.Pipeline("mine", "fieldloom.plans.run:run"))
+    assert "mine" in pipelines.known()
+    del pipelines._KNOWN["mine"]
