@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, leaf_mask, leaf_of, named, with_leaves
+from .common import SPACES, ascii_lower, cut, leaf_mask, leaf_of, named, with_leaves
 
 
 def line_key(line: Column) -> Column:
@@ -27,25 +27,37 @@ def line_key(line: Column) -> Column:
 def _hashes(text: Column, min_chars: int) -> Column:
     """Of each line the key's digest, null where the key is too short to be dropped."""
     def digest(line: Column) -> Column:
-        return F.when(F.char_length(line_key(line)) >= min_chars, F.md5(line_key(line)))
+        return F.when(F.char_length(line_key(line)) >= min_chars, F.unhex(F.md5(line_key(line))))
 
     return F.transform(F.split(ascii_lower(text), "\n", -1), digest)
 
 
-def frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """line_hash, docs, leaves: the lines of at least min_docs documents, with the salts of the documents that have them."""
+def _hashed(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """doc_id, code, leaf, hashes: the digests of a document's lines in order, without its text."""
     text = F.coalesce(named(text_col), F.lit(""))
-    own = docs.select(leaf_of(named(id_col), F.xxhash64(text)).alias("leaf"), F.explode(F.array_distinct(_hashes(text, min_chars))).alias("line_hash"))
-    counted = own.filter(F.col("line_hash").isNotNull()).groupBy("line_hash").agg(F.count(F.lit(1)).alias("docs"), leaf_mask(F.col("leaf")).alias("leaves"))
+    code = F.xxhash64(text)
+    return docs.select(named(id_col).alias("doc_id"), code.alias("code"), leaf_of(named(id_col), code).alias("leaf"), _hashes(text, min_chars).alias("hashes"))
+
+
+def _frequent(hashed: DataFrame, min_docs: int) -> DataFrame:
+    own = hashed.select("leaf", F.explode(F.array_distinct("hashes")).alias("line_hash")).filter(F.col("line_hash").isNotNull())
+    counted = own.groupBy("line_hash").agg(F.count(F.lit(1)).alias("docs"), leaf_mask(F.col("leaf")).alias("leaves"))
     return counted.filter(F.col("docs") >= min_docs)
 
 
+def frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+    """line_hash, docs, leaves: the lines of at least min_docs documents, with the salts of the documents that have them."""
+    return _frequent(_hashed(docs, id_col, text_col, min_chars), min_docs)
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """doc_id, text (what is left), n_lines, n_dropped."""
     text = F.coalesce(named(text_col), F.lit(""))
     code = F.xxhash64(text)
-    lines = docs.select(named(id_col).alias("doc_id"), code.alias("code"), leaf_of(named(id_col), code).alias("leaf"), F.posexplode(_hashes(text, min_chars)).alias("pos", "line_hash"))
-    hot = with_leaves(frequent_lines(docs, id_col, text_col, min_docs, min_chars).drop("docs"), "leaves", "leaf")
+    # Read twice: texts are split and hashed once.
+    hashed = cut(_hashed(docs, id_col, text_col, min_chars))
+    lines = hashed.select("doc_id", "code", "leaf", F.posexplode("hashes").alias("pos", "line_hash"))
+    hot = with_leaves(_frequent(hashed, min_docs).drop("docs"), "leaves", "leaf")
     lost = lines.filter(F.col("line_hash").isNotNull()).join(hot, ["line_hash", "leaf"])
     lost = lost.groupBy(F.xxhash64("doc_id", "code").alias("row_key"), "doc_id", "code").agg(F.array_sort(F.collect_set("pos")).alias("lost"))
     whole = docs.select(named(id_col).alias("doc_id"), code.alias("code"), text.alias("text")).withColumn("row_key", F.xxhash64("doc_id", "code"))
