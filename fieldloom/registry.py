@@ -190,6 +190,33 @@ def _numeric(own: profile.Table, at: str) -> DataFrame:
     return shown(profile.with_quartiles(own, profile.basic_stats(own)).filter(f"variable_position IN ({at})"), NUMBERS)
 
 
+def _runs() -> dict[str, tuple[Query, str]]:
+    """Whole runs over files: the tables as a run returns them, against what the files hold."""
+    from .functions.shared import fresh_path
+    from .plans.run import run
+    from .sources import files
+
+    def made(s: SparkSession, d: str, name: str, schema: str) -> DataFrame:
+        tables = run(s, [f"{d}/region.parquet", f"{d}/nation.parquet", f"{d}/no*such.csv"])
+        columns = [c.split()[0] for c in schema.split(", ")]
+        return s.createDataFrame([tuple(r[c] for c in columns) for r in tables[name]], schema)
+
+    def delimited(s: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
+        """A table written as one delimited file with quoted line ends and read back."""
+        path = fresh_path(s)
+        source(s, d, name).select(*columns).coalesce(1).write.options(header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+        return files.read_delimited(s, path, "csv", load())[0].df
+
+    both = "(SELECT 'nation' AS name, count(*) AS n, 3 AS c FROM nation UNION ALL SELECT 'region', count(*), 2 FROM region) AS t"
+    return {
+        "run_provenance": (lambda s, d: made(s, d, "provenance_metadata", "dataset_id string, source_format string, reader_package string, reader_function string, pipeline_name string, n_rows long, n_columns long"), f"SELECT name AS dataset_id, 'parquet' AS source_format, 'pyspark' AS reader_package, 'read_parquet' AS reader_function, 'data_dictionary' AS pipeline_name, n::BIGINT AS n_rows, c::BIGINT AS n_columns FROM {both}"),
+        "run_inventory": (lambda s, d: made(s, d, "input_inventory", "source_basename string, source_format string, supported boolean, status string, datasets_created long"), f"SELECT name || '.parquet' AS source_basename, 'parquet' AS source_format, TRUE AS supported, 'read' AS status, 1::BIGINT AS datasets_created FROM {both}"),
+        "run_summary": (lambda s, d: made(s, d, "summary", "input_files long, supported_files long, files_read long, files_failed long, datasets long, variables long, dictionary_rows long, import_problems long, variables_missing_business_definition long, errors long"), f"SELECT count(*)::BIGINT AS input_files, count(*)::BIGINT AS supported_files, count(*)::BIGINT AS files_read, 0::BIGINT AS files_failed, count(*)::BIGINT AS datasets, sum(c)::BIGINT AS variables, sum(c)::BIGINT AS dictionary_rows, 0::BIGINT AS import_problems, sum(c)::BIGINT AS variables_missing_business_definition, 0::BIGINT AS errors FROM {both}"),
+        "delimited_conversations": (lambda s, d: delimited(s, d, "conversations", "conv_id", "turn", "role", "text").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.md5("text").alias("text")), "SELECT conv_id, turn, role, md5(text) AS text FROM conversations"),
+        "delimited_orders": (lambda s, d: delimited(s, d, "orders", "o_orderkey", "o_totalprice", "o_orderstatus").select(F.col("o_orderkey").cast("long"), F.round("o_totalprice", 6).alias("o_totalprice"), "o_orderstatus"), "SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, o_orderstatus FROM orders"),
+    }
+
+
 def _build() -> dict[str, tuple[Query, str]]:
     out: dict[str, tuple[Query, str]] = {}
     pick = lambda names, sql: f"SELECT {', '.join(names)} FROM ({sql}) AS q"
@@ -236,10 +263,12 @@ def _build() -> dict[str, tuple[Query, str]]:
     out["detect_format"] = (lambda s, d: source(s, d, "pages").select("page_id", F.expr(name).alias("path")).select("page_id", fn.detected_format(F.col("path")).alias("format"), fn.source_stem(F.col("path")).alias("stem")), f"SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'csv' WHEN 2 THEN 'rdata' WHEN 3 THEN 'dta' WHEN 4 THEN 'jsonl' END AS format, 'study' || page_id || CASE page_id % 6 WHEN 1 THEN '' ELSE '' END AS stem FROM pages")
     file = "CASE page_id % 5 WHEN 0 THEN 'csv/data_dictionary.csv' WHEN 1 THEN 'resolved_config.yml' WHEN 2 THEN 'csv/value_labels.csv' WHEN 3 THEN 'open_science_metadata_report.html' ELSE 'csv/errors.csv' END"
     out["artifact_group"] = (lambda s, d: source(s, d, "pages").select("page_id", fn.artifact_group(F.expr(file)).alias("artifact_group")), "SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'dictionary' WHEN 1 THEN 'control' WHEN 2 THEN 'dictionary + metadata' WHEN 3 THEN 'public report' ELSE 'metadata' END AS artifact_group FROM pages")
+    packed = "'study' || page_id || CASE page_id % 4 WHEN 0 THEN '.CSV.gz' WHEN 1 THEN '.sas7bcat.xz' WHEN 2 THEN '.dta.BZ2' ELSE '.json' END"
+    out["source_compression"] = (lambda s, d: source(s, d, "pages").select("page_id", fn.compression(F.expr(packed)).alias("codec")), "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'gz' WHEN 1 THEN 'xz' WHEN 2 THEN 'bz2' END AS codec FROM pages")
     out["union_fill"] = (lambda s, d: profile.union_fill([source(s, d, "region"), source(s, d, "nation")]), "SELECT * FROM region UNION ALL BY NAME SELECT * FROM nation")
     out["limit_rows"] = (lambda s, d: profile.limit_rows(source(s, d, "nation"), 10), "SELECT * FROM nation WHERE n_nationkey IN (SELECT n_nationkey FROM nation LIMIT 10)")
     atomic = lambda c: F.from_json(fn.atomic(F.col(c), T.ArrayType(T.FloatType())), "array<double>")
-    out["atomicize_embeddings"] = (lambda s, d: source(s, d, "embeddings").select("vec_id", F.size(atomic("embedding")).cast("long").alias("n"), F.round(F.array_max(atomic("embedding")), 5).alias("most"), F.round(F.get(atomic("embedding"), F.lit(63)), 5).alias("last"), "label"), "SELECT vec_id, len(embedding)::BIGINT AS n, round(list_max(embedding)::DOUBLE, 5) AS most, round(embedding[64]::DOUBLE, 5) AS last, label FROM embeddings")
+    out["atomicize_embeddings"] = (lambda s, d: source(s, d, "embeddings").select("vec_id", F.size(atomic("embedding")).cast("long").alias("n"), F.round(F.array_max(atomic("embedding")), 6).alias("most"), F.round(F.get(atomic("embedding"), F.lit(63)), 6).alias("last"), "label"), "SELECT vec_id, len(embedding)::BIGINT AS n, round(list_max(embedding)::DOUBLE, 6) AS most, round(embedding[64]::DOUBLE, 6) AS last, label FROM embeddings")
     out["issues_by_type"] = (lambda s, d: profiled(source(s, d, "events"), "events")["quality_issues"].filter("issue_type = 'high_cardinality_character'").select("variable_name", "metric"), classes_sql("events") + "SELECT variable_name, n_unique_non_missing::DOUBLE AS metric FROM k WHERE textual AND n_unique_non_missing > 10")
     out["dict_dataset_lookup"] = (lambda s, d: profiled(source(s, d, "nation"), "nation")["data_dictionary"].select("dataset_id", "dataset_name", "source_format", "variable"), "SELECT 'nation' AS dataset_id, 'nation' AS dataset_name, 'in_memory' AS source_format, unnest(['n_nationkey', 'n_name', 'n_regionkey']) AS variable")
 
@@ -261,6 +290,10 @@ def _build() -> dict[str, tuple[Query, str]]:
     out["distinct_doubles"] = (lambda s, d: profile.stats(profile.Table(doubles(s, d))).select("n_unique_non_missing", "n_non_missing", "numeric_min"), f"SELECT count(DISTINCT {text}) FILTER (x IS NOT NULL)::BIGINT AS n_unique_non_missing, count(x)::BIGINT AS n_non_missing, min(abs(x)) AS numeric_min FROM {own}")
     public = ("Variable", "Definition", "Type", "Categories / values", "Missing", "Status")
     out["public_dictionary_customer"] = (lambda s, d: dictionary.public_dictionary(profiled(source(s, d, "customer"), "customer")["data_dictionary"]).select(*[F.col(f"`{c}`").alias(c.lower().replace(" / ", "_")) for c in public]), f"SELECT variable, '-' AS definition, upper(measurement_level[1]) || measurement_level[2:] AS type, CASE WHEN categorical_eligible AND NOT potential_identifier AND NOT potential_sensitive THEN value_label ELSE '-' END AS categories_values, n_missing || ' (' || printf('%.1f', percent_missing) || '%)' AS missing, 'Definition needed' || CASE WHEN potential_identifier OR potential_sensitive THEN '; Disclosure review' ELSE '' END AS status FROM ({dictionary_sql('customer')}) AS q")
+    out |= _runs()
+    shown_levels = "SELECT c_mktsegment AS v, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) AS o, count(*) OVER () AS m FROM customer GROUP BY c_mktsegment"
+    short = {"dictionary": {"inline_max_values": 3, "preview_values": 2}}
+    out["inline_preview"] = (lambda s, d: profiled(source(s, d, "customer").select("c_mktsegment"), "customer", load(short))["data_dictionary"].select("variable", "value_label"), f"SELECT 'c_mktsegment' AS variable, string_agg(v, '; ' ORDER BY o) FILTER (o <= 2) || '; ... [' || any_value(m) || ' total; complete values in categorical_levels]' AS value_label FROM ({shown_levels}) AS q")
     flags = "count(*) FILTER (potential_identifier OR potential_sensitive)"
 
     def totals(s: SparkSession, d: str) -> DataFrame:
