@@ -267,8 +267,8 @@ def _build() -> dict[str, tuple[Query, str]]:
     out["source_compression"] = (lambda s, d: source(s, d, "pages").select("page_id", fn.compression(F.expr(packed)).alias("codec")), "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'gz' WHEN 1 THEN 'xz' WHEN 2 THEN 'bz2' END AS codec FROM pages")
     out["union_fill"] = (lambda s, d: profile.union_fill([source(s, d, "region"), source(s, d, "nation")]), "SELECT * FROM region UNION ALL BY NAME SELECT * FROM nation")
     out["limit_rows"] = (lambda s, d: profile.limit_rows(source(s, d, "nation"), 10), "SELECT * FROM nation WHERE n_nationkey IN (SELECT n_nationkey FROM nation LIMIT 10)")
-    atomic = lambda c: F.from_json(fn.atomic(F.col(c), T.ArrayType(T.FloatType())), "array<double>")
-    out["atomicize_embeddings"] = (lambda s, d: source(s, d, "embeddings").select("vec_id", F.size(atomic("embedding")).cast("long").alias("n"), F.round(F.array_max(atomic("embedding")), 6).alias("most"), F.round(F.get(atomic("embedding"), F.lit(63)), 6).alias("last"), "label"), "SELECT vec_id, len(embedding)::BIGINT AS n, round(list_max(embedding)::DOUBLE, 6) AS most, round(embedding[64]::DOUBLE, 6) AS last, label FROM embeddings")
+    atomic = lambda c: F.from_json(fn.atomic(F.col(c), T.ArrayType(T.FloatType())), "array<float>")
+    out["atomicize_embeddings"] = (lambda s, d: source(s, d, "embeddings").select("vec_id", F.size(atomic("embedding")).cast("long").alias("n"), F.array_max(atomic("embedding")).alias("most"), F.get(atomic("embedding"), F.lit(63)).alias("last"), "label"), "SELECT vec_id, len(embedding)::BIGINT AS n, list_max(embedding) AS most, embedding[64] AS last, label FROM embeddings")
     out["issues_by_type"] = (lambda s, d: profiled(source(s, d, "events"), "events")["quality_issues"].filter("issue_type = 'high_cardinality_character'").select("variable_name", "metric"), classes_sql("events") + "SELECT variable_name, n_unique_non_missing::DOUBLE AS metric FROM k WHERE textual AND n_unique_non_missing > 10")
     out["dict_dataset_lookup"] = (lambda s, d: profiled(source(s, d, "nation"), "nation")["data_dictionary"].select("dataset_id", "dataset_name", "source_format", "variable"), "SELECT 'nation' AS dataset_id, 'nation' AS dataset_name, 'in_memory' AS source_format, unnest(['n_nationkey', 'n_name', 'n_regionkey']) AS variable")
 
