@@ -91,7 +91,7 @@ def with_leaves(df: DataFrame, mask: str, leaf: str) -> DataFrame:
 
 def pieces_of(batch: pa.RecordBatch, rows: int, size: int = 1 << 24) -> Iterator[pa.RecordBatch]:
     """A batch in slices of so many rows, and of about so many bytes where rows are long."""
-    each = max(1, min(rows, rows * size // max(1, batch.nbytes)) if batch.nbytes > size else rows)
+    each = max(1, min(rows, batch.num_rows * size // max(1, batch.nbytes)))
     for at in range(0, batch.num_rows, each):
         yield batch.slice(at, each)
 

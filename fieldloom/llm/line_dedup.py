@@ -73,14 +73,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 ORACLE = r"""
 WITH l AS (
-  SELECT doc_id, generate_subscripts(a, 1) AS pos, unnest(a) AS line
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
+  SELECT r, doc_id, generate_subscripts(a, 1) AS pos, unnest(a) AS line
+  FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
 ), k AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
 ), f AS (
-  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10
 )
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (f.key IS NOT NULL)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (f.key IS NULL), '')) AS kept_sha256
-FROM k LEFT JOIN f ON k.key = f.key GROUP BY doc_id
+FROM k LEFT JOIN f ON k.key = f.key GROUP BY r, doc_id
 """

@@ -183,6 +183,12 @@ def test_line_dedup(spark):
     assert got[50].text == "one\ntwo" and (got[51].text, got[51].n_lines) == ("", 1)
 
 
+def test_line_dedup_takes_rows_as_documents(spark):
+    rows = [(1, "shared\nown")] * 9 + [(1, "shared"), (None, "Shared \nx"), (None, None)] + [(i, "nine") for i in range(9)]
+    got = [(r.doc_id, r.text, r.n_dropped) for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [(1, "own", 1)] * 9 + [(1, "", 1), (None, "x", 1), (None, "", 0)] + [(i, "nine", 0) for i in range(9)]))
+
+
 def test_hilbert_curve_is_continuous():
     cells = sorted((hilbert_shards.hilbert_index((x, y, z), 3), (x, y, z)) for x in range(8) for y in range(8) for z in range(8))
     assert [i for i, _ in cells] == list(range(512))
